@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -152,27 +154,30 @@ def clean(resolved: DataFrame) -> DataFrame:
     return with_late_flag(with_value_flags(latest_per_key(resolved)))
 
 
-def analytics(fact: DataFrame, flat_tree: DataFrame) -> dict[str, DataFrame]:
+Reports = dict[str, Callable[[], DataFrame]]
+
+
+def analytics(fact: DataFrame, flat_tree: DataFrame) -> Reports:
     """The programme reports by output name."""
     return {
-        "analytics_monthly_volume": monthly_volume(fact),
-        "analytics_kpi_summary": kpi_summary(fact),
-        "analytics_period_over_period": period_change(fact),
-        "analytics_rolling_avg": rolling_average(fact),
-        "analytics_reporting_rate": reporting_rate(fact, flat_tree),
-        "analytics_underreporters": underreporters(fact),
+        "analytics_monthly_volume": lambda: monthly_volume(fact),
+        "analytics_kpi_summary": lambda: kpi_summary(fact),
+        "analytics_period_over_period": lambda: period_change(fact),
+        "analytics_rolling_avg": lambda: rolling_average(fact),
+        "analytics_reporting_rate": lambda: reporting_rate(fact, flat_tree),
+        "analytics_underreporters": lambda: underreporters(fact),
     }
 
 
-def cross_country(fact: DataFrame, scores: DataFrame) -> dict[str, DataFrame]:
+def cross_country(fact: DataFrame, scores: DataFrame) -> Reports:
     """The cross-country reports by output name."""
     return {
-        "cross_country_kpis": country_kpis(fact),
-        "cross_country_quarterly": quarterly_volumes(fact),
-        "cross_country_coverage_matrix": coverage_matrix(fact),
-        "cross_country_completeness": completeness_by_country(scores),
-        "consecutive_low_completeness": low_streaks(scores),
-        "global_aggregation": global_totals(fact),
+        "cross_country_kpis": lambda: country_kpis(fact),
+        "cross_country_quarterly": lambda: quarterly_volumes(fact),
+        "cross_country_coverage_matrix": lambda: coverage_matrix(fact),
+        "cross_country_completeness": lambda: completeness_by_country(scores),
+        "consecutive_low_completeness": lambda: low_streaks(scores),
+        "global_aggregation": lambda: global_totals(fact),
     }
 
 
@@ -190,6 +195,7 @@ def run(
     max_quarantine_pct: float = MAX_QUARANTINE_PCT,
     exact_quartiles: bool = False,
     count_duplicates: bool = False,
+    concurrent_reports: int = 4,
 ) -> RunReport:
     """Run every stage and write every output under ``target``.
 
@@ -274,7 +280,8 @@ def run(
     limits = stage(outlier_limits(cleaned, exact=exact_quartiles), "outlier-limits")
     cleaned = with_outlier_flag(cleaned, limits)
     scores_path = f"{target}/completeness_scores"
-    write_table(completeness(cleaned), scores_path, partition_by=["period"], replace=replace)
+    scores = completeness(cleaned)
+    write_table(scores, scores_path, partition_by=["period"], replace=replace)
 
     flags = Observation("flags")
     counted = cleaned.observe(flags, *flag_tally_columns())
@@ -286,7 +293,7 @@ def run(
 
     # A period reads back as a number unless its type is given.
     fact = spark.read.schema(fact.schema).parquet(fact_path)
-    scores = spark.read.schema(completeness(cleaned).schema).parquet(scores_path)
+    scores = spark.read.schema(scores.schema).parquet(scores_path)
     check_nonempty(fact)
     validate_contract(fact, contract)
 
@@ -295,17 +302,22 @@ def run(
         "dim_org_unit": landing.org_units,
         "dim_program": landing.programs,
     }
+    found = Observation("anomalies")
+    reports: Reports = {
+        **analytics(fact, tree),
+        **cross_country(fact, scores),
+        "anomalies": lambda: detect_anomalies(fact).observe(
+            found, F.count(F.lit(1)).alias("n")
+        ),
+        "dim_period": lambda: period_dimension(fact),
+    }
     for name in DIMENSION_NAMES:
-        publish(name, build_dimension(name, flat_tables[name]))
-    publish("dim_period", period_dimension(fact))
-    for name, df in {**analytics(fact, tree), **cross_country(fact, scores)}.items():
-        publish(name, df)
+        reports[name] = partial(build_dimension, name, flat_tables[name])
+    # The reports do not depend on one another; several at a time keep the
+    # cluster busy through the tail of each.
+    with ThreadPoolExecutor(concurrent_reports) as pool:
+        list(pool.map(lambda name: publish(name, reports[name]()), reports))
 
-    found = Observation("anomalies")
-    publish(
-        "anomalies",
-        detect_anomalies(fact).observe(found, F.count(F.lit(1)).alias("n")),
-    )
     snapshots = f"{target}/_metadata_snapshot"
     current = stage(registry_snapshot(elements), "registry")
     drift = detect_drift(current, latest_snapshot(spark, snapshots))
