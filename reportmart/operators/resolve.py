@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 DEFAULT_COMBO_NAME = "Default"
 
@@ -34,6 +34,11 @@ def attach(
     return joined.drop(*(f"__{ours}" for ours in on))
 
 
+def known(df: DataFrame, lookup: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    """Rows whose id the registry has, unchanged."""
+    return df.join(_registry(lookup, on, {}), _condition(on), "left_semi")
+
+
 def unknown(df: DataFrame, lookup: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Rows whose id the registry lacks, null ids included."""
     return df.join(_registry(lookup, on, {}), _condition(on), "left_anti")
@@ -70,6 +75,13 @@ def repeated_keys(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def one_per_key(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A registry with each key once: of several entries the first by their text."""
+    others = [c for c in lookup.columns if c not in keys]
+    w = Window.partitionBy(*keys).orderBy(*others)
+    return lookup.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+
+
 # The columns that resolution reads and the names it gives them.
 ELEMENT_ON = {"dataElement": "id"}
 ELEMENT_ATTRS = {"name": "data_element_name", "valueType": "valueType", "domainType": "domainType"}

@@ -25,11 +25,14 @@ from ..operators.quality import (
 )
 from ..operators.resolve import (
     COMBO_FLAG,
-    ELEMENT_ATTRS,
+    COMBO_ON,
+    DEFAULT_COMBO_NAME,
     ELEMENT_ON,
     attach_optional,
+    one_per_key,
     orphaned_combos,
     resolve_combos,
+    resolve_elements,
 )
 from ..operators.rollups import (
     completeness_by_country,
@@ -56,7 +59,7 @@ from ..operators.star import (
     period_dimension,
     write_fact,
 )
-from ..operators.tree import UNIT_ON, flatten_tree
+from ..operators.tree import UNIT_ON, flatten_tree, resolve_units
 from ..operators.trends import (
     kpi_summary,
     monthly_volume,
@@ -68,7 +71,7 @@ from ..operators.trends import (
 from ..sources.landing import Landing, load_landing
 from ..sources.staging import stage
 from ..sources.tables import write_table
-from ..streaming.incremental import loaded_periods, new_periods
+from ..streaming.incremental import loaded_periods
 
 OUTCOME = "outcome"
 QUARANTINED = "quarantined"
@@ -118,17 +121,18 @@ def route(
     flat_tree: DataFrame,
     loaded: DataFrame | None = None,
 ) -> DataFrame:
-    """Every landed row with all that is known about it and one ``outcome``.
+    """Every landed row with its broken rules, the orphan flag and one ``outcome``.
 
     Rules, both rejecting lookups and the flagging one take a single pass over
-    the values instead of one pass per kept and per rejected set."""
-    flagged = with_reason(values, landing_rules())
-    routed = attach_optional(
-        flagged, data_elements, ELEMENT_ON, ELEMENT_ATTRS, missing_flag="__no_element"
-    )
-    routed = resolve_combos(routed, combos)
-    attrs = {name: name for name in flat_tree.columns if name != "id"}
-    routed = attach_optional(routed, flat_tree, UNIT_ON, attrs, missing_flag="__no_unit")
+    the values instead of one pass per kept and per rejected set. Names are not
+    attached yet: the rows stay narrow until they are deduplicated."""
+    routed = with_reason(values, landing_rules())
+    for lookup, on, flag in (
+        (data_elements, ELEMENT_ON, "__no_element"),
+        (combos, COMBO_ON, COMBO_FLAG),
+        (flat_tree, UNIT_ON, "__no_unit"),
+    ):
+        routed = attach_optional(routed, lookup, on, {}, missing_flag=flag)
     seen = F.lit(False)
     if loaded is not None:
         routed = attach_optional(
@@ -149,9 +153,20 @@ def with_outcome(routed: DataFrame, outcome: str) -> DataFrame:
     return routed.where(F.col(OUTCOME) == outcome).drop(OUTCOME)
 
 
-def clean(resolved: DataFrame) -> DataFrame:
-    """Latest row per key with value and lateness flags; outliers need a second look."""
-    return with_late_flag(with_value_flags(latest_per_key(resolved)))
+def clean(known_rows: DataFrame) -> DataFrame:
+    """Latest row per key with value and lateness flags; outliers need a second look.
+
+    The key holds the ids that are resolved, so names may as well be attached
+    afterwards, to fewer rows, and need not be shuffled with them."""
+    return with_late_flag(with_value_flags(latest_per_key(known_rows)))
+
+
+def describe(
+    known_rows: DataFrame, data_elements: DataFrame, combos: DataFrame, flat_tree: DataFrame
+) -> DataFrame:
+    """Attach the names of element, category and location."""
+    named = resolve_combos(resolve_elements(known_rows, data_elements), combos)
+    return resolve_units(named, flat_tree)
 
 
 Reports = dict[str, Callable[[], DataFrame]]
@@ -219,9 +234,10 @@ def run(
     landing = source
     if not isinstance(landing, Landing):
         landing = load_landing(spark, source, layout=layout, values_layout=values_layout)
-    elements = stage(landing.data_elements, "elements")
-    combos = stage(landing.category_option_combos, "combos")
-    tree = stage(flatten_tree(stage(landing.org_units, "units")), "tree")
+    elements = stage(one_per_key(landing.data_elements, ["id"]), "elements")
+    combos = stage(one_per_key(landing.category_option_combos, ["id"]), "combos")
+    units = stage(one_per_key(landing.org_units, ["id"]), "units")
+    tree = stage(flatten_tree(units), "tree")
     bridge = stage(landing.de_program, "programme-elements")
 
     loaded = None
@@ -271,14 +287,21 @@ def run(
         return report("no_new_data")
 
     publish("unresolvable_data_elements", with_outcome(routed, UNKNOWN_ELEMENT).drop(REASON))
-    publish("orphaned_org_units", with_outcome(routed, UNKNOWN_UNIT).drop(REASON))
-    known = routed.where(F.col(OUTCOME).isin(UNKNOWN_UNIT, RESOLVED)).drop(OUTCOME, REASON)
-    publish("unresolvable_coc", orphaned_combos(known))
+    rows = routed.drop(REASON, COMBO_FLAG)
+    no_unit = resolve_elements(with_outcome(rows, UNKNOWN_UNIT), elements)
+    publish("orphaned_org_units", resolve_combos(no_unit, combos))
+    orphaned = orphaned_combos(routed.where(F.col(OUTCOME).isin(UNKNOWN_UNIT, RESOLVED)))
+    publish(
+        "unresolvable_coc",
+        resolve_elements(orphaned.drop(OUTCOME, REASON), elements).withColumn(
+            "coc_name", F.lit(DEFAULT_COMBO_NAME)
+        ),
+    )
 
-    resolved = with_outcome(routed, RESOLVED).drop(REASON)
+    resolved = with_outcome(rows, RESOLVED)
     cleaned = stage(clean(resolved), "cleaned")
     limits = stage(outlier_limits(cleaned, exact=exact_quartiles), "outlier-limits")
-    cleaned = with_outlier_flag(cleaned, limits)
+    cleaned = describe(with_outlier_flag(cleaned, limits), elements, combos, tree)
     scores_path = f"{target}/completeness_scores"
     scores = completeness(cleaned)
     write_table(scores, scores_path, partition_by=["period"], replace=replace)
@@ -299,7 +322,7 @@ def run(
 
     flat_tables = {
         "dim_data_element": elements,
-        "dim_org_unit": landing.org_units,
+        "dim_org_unit": units,
         "dim_program": landing.programs,
     }
     found = Observation("anomalies")

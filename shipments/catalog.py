@@ -16,7 +16,7 @@ from reportmart.operators.contract import (
 )
 from reportmart.plans.reporting import run
 from reportmart.sources import landing as land
-from reportmart.sources.staging import new_path, stage
+from reportmart.sources.staging import new_path
 from reportmart.sources.tables import write_table
 from reportmart.streaming.incremental import loaded_periods, new_periods
 
@@ -177,12 +177,12 @@ def orphaned_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.distinct_copies(model.resolved(spark, sf_dir))
+    return quality.distinct_copies(model.known_rows(spark, sf_dir))
 
 
 @query
 def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.latest_per_key(model.resolved(spark, sf_dir))
+    return quality.latest_per_key(model.known_rows(spark, sf_dir))
 
 
 @query
@@ -197,7 +197,7 @@ def dedup_latest_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def duplicate_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.duplicate_tally(model.resolved(spark, sf_dir))
+    return quality.duplicate_tally(model.known_rows(spark, sf_dir))
 
 
 @query
@@ -212,7 +212,7 @@ def late_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def outlier_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.outlier_limits(model.cleaned(spark, sf_dir), exact=True)
+    return quality.outlier_limits(model.cleaned_table(spark, sf_dir), exact=True)
 
 
 @query
@@ -225,19 +225,14 @@ def flagged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.flag_outliers(events, "event_type", "value", exact=True)
 
 
-def cleaned_with_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = stage(model.cleaned(spark, sf_dir), "cleaned")
-    return quality.flag_outliers(cleaned, exact=True)
-
-
 @query
 def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.completeness(model.cleaned(spark, sf_dir))
+    return quality.completeness(model.cleaned_table(spark, sf_dir))
 
 
 @query
 def dq_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = cleaned_with_outliers(spark, sf_dir)
+    cleaned = model.cleaned_table(spark, sf_dir)
     return rounded(
         quality.quality_tally(cleaned, quality.completeness(cleaned)), "avg_completeness_pct"
     )
@@ -248,12 +243,13 @@ def dq_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.build_fact(cleaned_with_outliers(spark, sf_dir), registry(spark, sf_dir, "bridge"))
+    """The whole chain from the landed values, nothing reused but the registries."""
+    return model.fact(spark, sf_dir)
 
 
 @query
 def fact_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.row_gate(model.fact(spark, sf_dir))
+    return star.row_gate(model.fact_table(spark, sf_dir))
 
 
 @query
@@ -273,7 +269,7 @@ def dim_program(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dim_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.period_dimension(model.fact(spark, sf_dir))
+    return star.period_dimension(model.fact_table(spark, sf_dir))
 
 
 # --- contract ----------------------------------------------------------------
@@ -281,7 +277,7 @@ def dim_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def contract_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contract_report(model.fact(spark, sf_dir), FACT_CONTRACT)
+    return contract_report(model.fact_table(spark, sf_dir), FACT_CONTRACT)
 
 
 LINE_CONTRACT = Contract(
@@ -313,7 +309,7 @@ def contract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def loaded_fact(spark: SparkSession, sf_dir: str) -> str:
     """A fact that holds the periods before the cutoff."""
     path = new_path(spark, star.FACT_NAME)
-    star.write_fact(model.fact(spark, sf_dir).where(F.col("period") < CUTOFF), path)
+    star.write_fact(model.fact_table(spark, sf_dir).where(F.col("period") < CUTOFF), path)
     return path
 
 
@@ -332,7 +328,7 @@ def new_period_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the late periods beside the early ones, then read everything back."""
     path = loaded_fact(spark, sf_dir)
-    late = model.fact(spark, sf_dir).where(F.col("period") >= CUTOFF)
+    late = model.fact_table(spark, sf_dir).where(F.col("period") >= CUTOFF)
     star.write_fact(late, path, replace="touched")
     return (
         spark.read.schema(late.schema).parquet(path)
@@ -346,17 +342,17 @@ def incremental_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def monthly_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.monthly_volume(model.fact(spark, sf_dir))
+    return trends.monthly_volume(model.fact_table(spark, sf_dir))
 
 
 @query
 def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(trends.kpi_summary(model.fact(spark, sf_dir)), "mean", "stddev")
+    return rounded(trends.kpi_summary(model.fact_table(spark, sf_dir)), "mean", "stddev")
 
 
 @query
 def period_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.period_change(model.fact(spark, sf_dir))
+    return trends.period_change(model.fact_table(spark, sf_dir))
 
 
 @query
@@ -379,22 +375,22 @@ def nation_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rolling_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.rolling_average(model.fact(spark, sf_dir))
+    return trends.rolling_average(model.fact_table(spark, sf_dir))
 
 
 @query
 def rolling_avg_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.rolling_average_by_month(model.fact(spark, sf_dir))
+    return trends.rolling_average_by_month(model.fact_table(spark, sf_dir))
 
 
 @query
 def reporting_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.reporting_rate(model.fact(spark, sf_dir), registry(spark, sf_dir, "tree"))
+    return trends.reporting_rate(model.fact_table(spark, sf_dir), registry(spark, sf_dir, "tree"))
 
 
 @query
 def underreporters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trends.underreporters(model.fact(spark, sf_dir))
+    return trends.underreporters(model.fact_table(spark, sf_dir))
 
 
 # --- cross country -----------------------------------------------------------
@@ -402,12 +398,12 @@ def underreporters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def country_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(rollups.country_kpis(model.fact(spark, sf_dir)), "mean_per_report")
+    return rounded(rollups.country_kpis(model.fact_table(spark, sf_dir)), "mean_per_report")
 
 
 @query
 def quarterly_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.quarterly_volumes(model.fact(spark, sf_dir))
+    return rollups.quarterly_volumes(model.fact_table(spark, sf_dir))
 
 
 ELEMENT_NAMES = ("Lines A F", "Lines A O", "Lines N F", "Lines N O", "DE_RF", "DE_RO")
@@ -415,30 +411,30 @@ ELEMENT_NAMES = ("Lines A F", "Lines A O", "Lines N F", "Lines N O", "DE_RF", "D
 
 @query
 def coverage_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.coverage_matrix(model.fact(spark, sf_dir), ELEMENT_NAMES)
+    return rollups.coverage_matrix(model.fact_table(spark, sf_dir), ELEMENT_NAMES)
 
 
 @query
 def coverage_matrix_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pivot with its columns found in the data."""
-    return rollups.coverage_matrix(model.fact(spark, sf_dir))
+    return rollups.coverage_matrix(model.fact_table(spark, sf_dir))
 
 
 @query
 def completeness_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = quality.completeness(model.cleaned(spark, sf_dir))
+    scores = quality.completeness(model.cleaned_table(spark, sf_dir))
     return rounded(rollups.completeness_by_country(scores), "avg_completeness_pct")
 
 
 @query
 def low_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = quality.completeness(model.cleaned(spark, sf_dir))
+    scores = quality.completeness(model.cleaned_table(spark, sf_dir))
     return rounded(rollups.low_streaks(scores), "avg_completeness_pct")
 
 
 @query
 def global_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.global_totals(model.fact(spark, sf_dir))
+    return rollups.global_totals(model.fact_table(spark, sf_dir))
 
 
 # --- anomalies ---------------------------------------------------------------
@@ -446,18 +442,18 @@ def global_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def zscore_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = anomaly.detect_anomalies(model.fact(spark, sf_dir), max_growth_pct=None)
+    found = anomaly.detect_anomalies(model.fact_table(spark, sf_dir), max_growth_pct=None)
     return rounded(found, "z_score")
 
 
 @query
 def spike_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(anomaly.detect_anomalies(model.fact(spark, sf_dir), max_z=None), "z_score")
+    return rounded(anomaly.detect_anomalies(model.fact_table(spark, sf_dir), max_z=None), "z_score")
 
 
 @query
 def anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(anomaly.detect_anomalies(model.fact(spark, sf_dir)), "z_score")
+    return rounded(anomaly.detect_anomalies(model.fact_table(spark, sf_dir)), "z_score")
 
 
 @query
@@ -519,10 +515,10 @@ def snapshot_rollforward(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sink_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact written by health area and month and read back."""
-    fact = model.fact(spark, sf_dir)
+    fact = model.fact_table(spark, sf_dir)
     path = new_path(spark, star.FACT_NAME)
     star.write_fact(fact, path)
-    return spark.read.schema(fact.schema).parquet(path).drop("is_outlier")
+    return spark.read.schema(fact.schema).parquet(path)
 
 
 @query

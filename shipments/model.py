@@ -6,11 +6,12 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reportmart.operators.quality import latest_per_key, with_late_flag, with_value_flags
-from reportmart.operators.resolve import resolve_combos, resolve_elements
+from reportmart.operators.quality import flag_outliers
+from reportmart.operators.resolve import ELEMENT_ON, known, resolve_combos, resolve_elements
 from reportmart.operators.rules import landing_rules, valid_rows, with_reason
 from reportmart.operators.star import build_fact
-from reportmart.operators.tree import flatten_tree, resolve_units
+from reportmart.operators.tree import UNIT_ON, flatten_tree, resolve_units
+from reportmart.plans.reporting import clean, describe
 from reportmart.sources.landing import (
     Landing,
     flatten_combos,
@@ -203,10 +204,20 @@ def registry(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _registries(spark, sf_dir)[name]
 
 
+@lru_cache(maxsize=None)
+def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values as landed: written once per session, as an export would be."""
+    values = flatten_values(value_records(spark, sf_dir))
+    files = len(table(spark, sf_dir, "lineitem").inputFiles())
+    if files < spark.sparkContext.defaultParallelism:
+        values = values.hint("rebalance")  # too few files to occupy the cores
+    return stage(values, "landed-values")
+
+
 def landing(spark: SparkSession, sf_dir: str) -> Landing:
     """The flat tables, as if read from landing documents."""
     return Landing(
-        values=flatten_values(value_records(spark, sf_dir)),
+        values=landed(spark, sf_dir),
         data_elements=registry(spark, sf_dir, "elements"),
         org_units=registry(spark, sf_dir, "units"),
         category_option_combos=registry(spark, sf_dir, "combos"),
@@ -216,7 +227,7 @@ def landing(spark: SparkSession, sf_dir: str) -> Landing:
 
 
 def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_reason(flatten_values(value_records(spark, sf_dir)), landing_rules())
+    return with_reason(landed(spark, sf_dir), landing_rules())
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,20 +236,40 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def described(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid values with element and category names."""
-    known = resolve_elements(valid(spark, sf_dir), registry(spark, sf_dir, "elements"))
-    return resolve_combos(known, registry(spark, sf_dir, "combos"))
+    known_rows = resolve_elements(valid(spark, sf_dir), registry(spark, sf_dir, "elements"))
+    return resolve_combos(known_rows, registry(spark, sf_dir, "combos"))
 
 
 def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_units(described(spark, sf_dir), registry(spark, sf_dir, "tree"))
 
 
+def known_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid values of known elements and units, without names."""
+    rows = known(valid(spark, sf_dir), registry(spark, sf_dir, "elements"), ELEMENT_ON)
+    return known(rows, registry(spark, sf_dir, "tree"), UNIT_ON)
+
+
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per key, flagged; outliers need limits and are left to the caller."""
-    return with_late_flag(with_value_flags(latest_per_key(resolved(spark, sf_dir))))
+    """One row per key with all flags and names."""
+    flagged = flag_outliers(stage(clean(known_rows(spark, sf_dir)), "cleaned"), exact=True)
+    names = (registry(spark, sf_dir, name) for name in ("elements", "combos", "tree"))
+    return describe(flagged, *names)
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact without outlier flags, as most reports need it."""
-    rows = cleaned(spark, sf_dir).withColumn("is_outlier", F.lit(False))
-    return build_fact(rows, registry(spark, sf_dir, "bridge"))
+    return build_fact(cleaned(spark, sf_dir), registry(spark, sf_dir, "bridge"))
+
+
+@lru_cache(maxsize=None)
+def cleaned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned values as a run keeps them: written once, read by many."""
+    return stage(cleaned(spark, sf_dir), "cleaned-named")
+
+
+@lru_cache(maxsize=None)
+def fact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as the reports find it: a table already written."""
+    return stage(
+        build_fact(cleaned_table(spark, sf_dir), registry(spark, sf_dir, "bridge")), "fact"
+    )

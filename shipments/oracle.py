@@ -157,8 +157,8 @@ STAGES = {
         FROM outlying LEFT JOIN bridge ON "dataElement" = de_id AND country_name = country""",
     "scores": """
         SELECT a.*, e.expected_de_count,
-               CAST(round(CAST(CAST(actual_de_count AS DOUBLE) / expected_de_count * 100
-                               AS DECIMAL(28, 12)), 2) AS DOUBLE) AS completeness_pct
+               CAST(round(CAST(CAST(CAST(actual_de_count AS DOUBLE) / expected_de_count * 100
+                    AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE) AS completeness_pct
         FROM (SELECT country_name, "orgUnit", period,
                      count(DISTINCT "dataElement") AS actual_de_count, count(*) AS row_count
               FROM cleaned GROUP BY ALL) a
@@ -218,8 +218,8 @@ def statement(select: str) -> str:
 
 
 def half_up(expression: str) -> str:
-    """Rounding of the decimal digits, as opposed to the binary ones, to two places."""
-    return f"CAST(round(CAST({expression} AS DECIMAL(28, 12)), 2) AS DOUBLE)"
+    """Rounding to two places of the digits a double is written with."""
+    return f"CAST(round(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE)"
 
 
 REQUIRED = """fact_id period year month quarter year_month date_key org_unit_id
@@ -303,7 +303,7 @@ SELECTS = {
     "orphaned_units": """SELECT * FROM described WHERE "orgUnit" NOT IN (SELECT id FROM units)""",
     "dedup_exact": """SELECT DISTINCT "dataElement", period, "orgUnit", "categoryOptionCombo", value
         FROM resolved""",
-    "dedup_latest": "SELECT * EXCLUDE (updated_ts, created_ts) FROM latest",
+    "dedup_latest": f"SELECT {VALUE_COLUMNS} FROM latest",
     "dedup_latest_line": """SELECT * FROM lineitem QUALIFY row_number() OVER (
         PARTITION BY l_orderkey, l_linenumber
         ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) = 1""",
@@ -442,7 +442,7 @@ SELECTS = {
     "drift_report": "SELECT * FROM part_drift",
     "drift_counts": "SELECT drift_type, count(*) AS n_elements FROM part_drift GROUP BY 1",
     "snapshot_rollforward": "SELECT * FROM later_parts",
-    "sink_fact": "SELECT * EXCLUDE (is_outlier) FROM fact",
+    "sink_fact": "SELECT * FROM fact",
     "sink_csv": """SELECT "dataElement", period, nullif("orgUnit", '') AS "orgUnit",
         "categoryOptionCombo", value AS raw_value, quarantine_reason
         FROM checked WHERE quarantine_reason <> ''""",

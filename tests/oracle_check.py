@@ -38,7 +38,7 @@ def compare(df, connection, sql):
     if got_columns != want_columns:
         return f"columns {got_columns} != {want_columns}"
     if got != want:
-        extra = [r for r in got if r not in set(want)][:2]
-        lacking = [r for r in want if r not in set(got)][:2]
+        extra = list(set(got) - set(want))[:2]
+        lacking = list(set(want) - set(got))[:2]
         return f"rows {len(got)} vs {len(want)}; only here {extra}; only there {lacking}"
     return None
