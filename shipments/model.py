@@ -34,18 +34,20 @@ def _cell(discount: float, tax: float) -> Column:
 
 def value_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reported value per line, as it would land."""
-    month = F.date_format("l_shipdate", "yyyyMM")
+    shipped = F.to_date("l_shipdate")
+    day = shipped.cast("string")
+    month = F.substring(day, 1, 7)
     amount = F.col("l_quantity").cast("int")
-    iso = "yyyy-MM-dd'T'HH:mm:ss.SSS"
-    updated = F.date_add(F.to_date("l_shipdate"), F.col("l_linenumber") * 20)
+    midnight = F.lit("T00:00:00.000")
+    updated = F.date_add(shipped, F.col("l_linenumber") * 20).cast("string")
     return table(spark, sf_dir, "lineitem").select(
         F.when(_cell(0.1, 0.08), "DE_GHOST")
         .when(_cell(0.1, 0.07), None)
         .otherwise(F.concat(F.lit("DE_"), "l_returnflag", "l_linestatus"))
         .alias("dataElement"),
         F.when(_cell(0.0, 0.0), None)
-        .when(_cell(0.0, 0.08), F.date_format("l_shipdate", "yyyy-MM"))
-        .otherwise(month)
+        .when(_cell(0.0, 0.08), month)
+        .otherwise(F.replace(month, F.lit("-"), F.lit("")))
         .alias("period"),
         F.when(_cell(0.1, 0.0), "")
         .when(_cell(0.1, 0.01), "OU_GHOST")
@@ -60,10 +62,10 @@ def value_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((F.col("l_tax") == 0.05) & (F.col("l_quantity") == 50), (amount * 100).cast("string"))
         .otherwise(amount.cast("string"))
         .alias("value"),
-        F.date_format(F.date_add(F.to_date("l_shipdate"), 5), iso).alias("created"),
+        F.concat(F.date_add(shipped, 5).cast("string"), midnight).alias("created"),
         F.when(F.col("l_discount") == 0.03, None)
-        .when(F.col("l_discount") == 0.04, F.date_format(updated, "yyyy-MM-dd"))
-        .otherwise(F.date_format(updated, iso))
+        .when(F.col("l_discount") == 0.04, updated)
+        .otherwise(F.concat(updated, midnight))
         .alias("lastUpdated"),
         F.concat_ws("-", "l_orderkey", "l_partkey").alias("storedBy"),
     )
