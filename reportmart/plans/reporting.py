@@ -243,8 +243,8 @@ def run(
     loaded = None
     if mode == "incremental":
         loaded = loaded_periods(spark, fact_path)
-        if loaded is not None:
-            loaded = stage(loaded.where(~F.col("period").isin(*reprocess)), "loaded-periods")
+        if loaded is not None and reprocess:
+            loaded = loaded.where(~F.col("period").isin(*reprocess))
 
     # One pass over the landed values: check, resolve, route, count.
     seen = Observation("routing")
