@@ -30,6 +30,7 @@ def with_scores(
     value: str = "typed_value",
     window_rows: int = WINDOW_ROWS,
     rows_per_task: int = ROWS_PER_TASK,
+    found: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``__z``, the distance from the rolling mean in deviations, the row itself
     included, and ``__growth``, the change in percent over the row before. Both
@@ -41,7 +42,7 @@ def with_scores(
         "__before": lambda w: F.lag(value).over(w),
     }
     current = F.col(value)
-    framed = with_frames(fact, keys, order, frames, max(back, 1), rows_per_task)
+    framed = with_frames(fact, keys, order, frames, max(back, 1), rows_per_task, found)
     return framed.withColumns(
         {
             "__z": F.when(
@@ -71,6 +72,7 @@ def detect_anomalies(
     max_z: float | None = MAX_Z,
     max_growth_pct: float | None = MAX_GROWTH_PCT,
     rows_per_task: int = ROWS_PER_TASK,
+    found: DataFrame | None = None,
 ) -> DataFrame:
     """One row per finding: a row that is both an outlier and a spike appears
     twice. ``z_score`` holds the distance in deviations for ``z_score_outlier`` and
@@ -83,6 +85,7 @@ def detect_anomalies(
         value=value,
         window_rows=window_rows,
         rows_per_task=rows_per_task,
+        found=found,
     )
     findings = []
     if max_z is not None:

@@ -21,14 +21,18 @@ ROWS_PER_TASK = 5_000_000
 Framed = Mapping[str, Callable[[WindowSpec], Column]]
 
 
-def long_series(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
-    """Keys with more rows than one task should sort. There are at most as many
-    of them as the table has multiples of ``rows_per_task``."""
-    return (
+def long_series(
+    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Keys with more rows than one task should sort, and their numbers of rows.
+    There are at most as many of them as the table has multiples of
+    ``rows_per_task``. Counted once, map-side first, and staged."""
+    found = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where(F.col("n_rows") > rows_per_task)
     )
+    return stage(found, "long-series")
 
 
 def with_frames(
@@ -38,14 +42,16 @@ def with_frames(
     frames: Framed,
     lookback: int,
     rows_per_task: int = ROWS_PER_TASK,
+    found: DataFrame | None = None,
 ) -> DataFrame:
     """Add columns computed by ``frames`` over each series.
 
     ``order`` must order the rows of a series totally. No frame may reach further
-    than ``lookback`` rows back, nor any row ahead. Runs a count of rows per
-    series first.
+    than ``lookback`` rows back, nor any row ahead. Counts the rows per series
+    first; pass ``found``, the result of ``long_series``, to share that count.
     """
-    found = stage(long_series(df, keys, rows_per_task), "long-series")
+    if found is None:
+        found = long_series(df, keys, rows_per_task)
     total = found.agg(F.sum("n_rows")).first()[0]
     if total is None:
         return _framed(df, keys, order, frames)

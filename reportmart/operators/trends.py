@@ -82,14 +82,15 @@ def rolling_average(
     name: str = "rolling_3m_avg",
     columns: Sequence[str] | None = ROLLING_COLUMNS,
     rows_per_task: int = ROWS_PER_TASK,
+    found: DataFrame | None = None,
 ) -> DataFrame:
     """Mean over each row and the ``size - 1`` before it in its series. A row
-    without a value keeps its place in the frame."""
+    without a value keeps its place in the frame. See ``with_frames`` for ``found``."""
     back = size - 1
     frames = {name: lambda w: F.round(F.avg(value).over(w.rowsBetween(-back, 0)), 2)}
     needed = list(dict.fromkeys([*(columns or fact.columns), *keys, *order, value]))
     source = fact.select(*(c for c in needed if c != name))
-    out = with_frames(source, keys, order, frames, back, rows_per_task)
+    out = with_frames(source, keys, order, frames, back, rows_per_task, found)
     return out.select(*columns) if columns else out
 
 

@@ -50,6 +50,7 @@ from ..operators.rules import (
     quarantine_table,
     with_reason,
 )
+from ..operators.series import long_series
 from ..operators.star import (
     DIMENSION_NAMES,
     FACT_NAME,
@@ -61,6 +62,7 @@ from ..operators.star import (
 )
 from ..operators.tree import UNIT_ON, flatten_tree, resolve_units
 from ..operators.trends import (
+    SERIES_KEY,
     kpi_summary,
     monthly_volume,
     period_change,
@@ -172,13 +174,13 @@ def describe(
 Reports = dict[str, Callable[[], DataFrame]]
 
 
-def analytics(fact: DataFrame, flat_tree: DataFrame) -> Reports:
-    """The programme reports by output name."""
+def analytics(fact: DataFrame, flat_tree: DataFrame, found: DataFrame | None = None) -> Reports:
+    """The programme reports by output name; ``found`` are the fact's long series."""
     return {
         "analytics_monthly_volume": lambda: monthly_volume(fact),
         "analytics_kpi_summary": lambda: kpi_summary(fact),
         "analytics_period_over_period": lambda: period_change(fact),
-        "analytics_rolling_avg": lambda: rolling_average(fact),
+        "analytics_rolling_avg": lambda: rolling_average(fact, found=found),
         "analytics_reporting_rate": lambda: reporting_rate(fact, flat_tree),
         "analytics_underreporters": lambda: underreporters(fact),
     }
@@ -301,10 +303,10 @@ def run(
     resolved = with_outcome(rows, RESOLVED)
     cleaned = stage(clean(resolved), "cleaned")
     limits = stage(outlier_limits(cleaned, exact=exact_quartiles), "outlier-limits")
-    cleaned = describe(with_outlier_flag(cleaned, limits), elements, combos, tree)
     scores_path = f"{target}/completeness_scores"
-    scores = completeness(cleaned)
+    scores = completeness(resolve_units(cleaned, tree))
     write_table(scores, scores_path, partition_by=["period"], replace=replace)
+    cleaned = describe(with_outlier_flag(cleaned, limits), elements, combos, tree)
 
     flags = Observation("flags")
     counted = cleaned.observe(flags, *flag_tally_columns())
@@ -325,12 +327,13 @@ def run(
         "dim_org_unit": units,
         "dim_program": landing.programs,
     }
-    found = Observation("anomalies")
+    found = long_series(fact, SERIES_KEY)
+    findings = Observation("anomalies")
     reports: Reports = {
-        **analytics(fact, tree),
+        **analytics(fact, tree, found),
         **cross_country(fact, scores),
-        "anomalies": lambda: detect_anomalies(fact).observe(
-            found, F.count(F.lit(1)).alias("n")
+        "anomalies": lambda: detect_anomalies(fact, found=found).observe(
+            findings, F.count(F.lit(1)).alias("n")
         ),
         "dim_period": lambda: period_dimension(fact),
     }
@@ -359,7 +362,7 @@ def run(
         zero_rows=flagged["zero_rows"],
         missing_rows=flagged["missing_rows"],
         avg_completeness_pct=scores.agg(F.avg("completeness_pct")).first()[0],
-        anomalies=found.get["n"],
+        anomalies=findings.get["n"],
         drifted_elements=drifted.get["n"],
         seconds=time.monotonic() - started,
     )

@@ -17,11 +17,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StructType, VariantType
 
 # The record layouts, file names and defaults of the export format.
 VALUE_RECORD = """
-    dataElement STRING, period STRING, orgUnit STRING, categoryOptionCombo STRING,
+    dataElement STRING, period STRING, orgUnit STRING, categoryOptionCombo VARIANT,
     value STRING, created STRING, lastUpdated STRING, storedBy STRING
 """
 ELEMENT_RECORD = """
@@ -96,10 +96,16 @@ def _read_record_lines(spark: SparkSession, path: str, record: str) -> DataFrame
 
 
 def flatten_values(records: DataFrame) -> DataFrame:
-    """Reported values with the category default filled in."""
-    return records.withColumn(
-        "categoryOptionCombo", F.coalesce("categoryOptionCombo", F.lit(DEFAULT_COMBO))
-    )
+    """Reported values. A record without a category gets the default one; a category
+    given as null stays null. Read as a variant the two differ: the first is null,
+    the second a variant that holds a null."""
+    combo = F.col("categoryOptionCombo")
+    if isinstance(records.schema["categoryOptionCombo"].dataType, VariantType):
+        given = F.variant_get(combo, "$", "string")
+        filled = F.when(~F.is_variant_null(combo), F.coalesce(given, F.lit(DEFAULT_COMBO)))
+    else:
+        filled = F.coalesce(combo, F.lit(DEFAULT_COMBO))
+    return records.withColumn("categoryOptionCombo", filled)
 
 
 def flatten_elements(records: DataFrame) -> DataFrame:

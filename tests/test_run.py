@@ -50,6 +50,7 @@ def defects():
         value("E1", "202301", "GHOST", "1"),
         value("E2", "202303", "C2F2", "0", coc="K9"),  # orphaned category, zero
         value("E2", "202302", "C2F2", None, coc="__absent"),  # missing value, default category
+        value("E1", "202303", "C2F2", "5", coc=None),  # null is not absent
         value("E1", "202301", None, "1"),
         value("E1", "2023-01", "C1F1", "1"),
     ]
@@ -82,10 +83,10 @@ def test_full_run(spark, tmp_path):
     target = str(tmp_path / "out")
     r = run(spark, source, target, count_duplicates=True, exact_quartiles=True)
     assert r.finished == "complete"
-    assert (r.total_rows, r.quarantined_rows) == (32, 2)
-    assert (r.unknown_element_rows, r.unknown_unit_rows, r.orphaned_combo_rows) == (1, 1, 1)
+    assert (r.total_rows, r.quarantined_rows) == (33, 2)
+    assert (r.unknown_element_rows, r.unknown_unit_rows, r.orphaned_combo_rows) == (1, 1, 2)
     assert (r.exact_duplicates, r.near_duplicates) == (1, 1)
-    assert r.fact_rows == 26
+    assert r.fact_rows == 27
     assert (r.zero_rows, r.missing_rows) == (1, 1)
     assert r.avg_completeness_pct == 100.0
     # submitted in April for a period that ended in January
@@ -97,10 +98,13 @@ def test_full_run(spark, tmp_path):
     assert [x["value"] for x in kept.collect()] == ["11"]
     row = fact.where("coc_id = 'COC_DEF'").first()
     assert row["is_missing_value"] and row["coc_name"] == "COC_DEF" and row["data_element_name"] == "E2"
+    null_coc = fact.where("coc_id is null").collect()
+    assert [(x["value"], x["coc_name"], x["is_orphaned_coc"]) for x in null_coc] == [
+        ("5", "Default", True)]
     assert row["district_name"] == "Southland district" and row["facility_level"] == 4
     reasons = {x["quarantine_reason"] for x in spark.read.parquet(f"{target}/quarantine").collect()}
     assert reasons == {"missing:orgUnit", "invalid_period:2023-01"}
-    assert r.as_frame(spark).first()["fact_rows"] == 26
+    assert r.as_frame(spark).first()["fact_rows"] == 27
 
 
 def test_second_run_reports_drift(spark, tmp_path):

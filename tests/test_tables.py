@@ -120,11 +120,12 @@ def test_tree_of_any_depth(spark):
     assert deep.columns[-2:] == ["top", "third"]
 
 
-def test_latest_keeps_one_row_of_a_hot_key_per_task(spark):
+def test_latest_keeps_one_row_of_a_hot_key_per_task(spark, capsys):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
     latest = latest_per_key(df, ["k"], [F.desc("id")])
-    plan = latest._jdf.queryExecution().toString()
+    latest.explain()
+    plan = capsys.readouterr().out
     limit, exchange = plan.rfind("WindowGroupLimit"), plan.rfind("Exchange")
     assert limit > exchange > 0  # below the exchange, that is before the shuffle
     assert latest.count() == 2001 and latest.where("k = 0").first()["id"] == 2997
