@@ -1,14 +1,16 @@
-"""Quantiles per group, approximate or exact, without holding a group in memory."""
+"""Quantiles per group, approximate or exact, without sorting a whole group."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.staging import stage
+from .series import ROWS_PER_TASK
 
 ACCURACY = 10_000
+SLICES = 1_000
 
 
 def approx_quantiles(
@@ -21,60 +23,138 @@ def approx_quantiles(
 
 
 def exact_quantiles(
-    df: DataFrame, key: str, value: str, probs: Mapping[str, float], accuracy: int = ACCURACY
+    df: DataFrame,
+    key: str,
+    value: str,
+    probs: Mapping[str, float],
+    accuracy: int = ACCURACY,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """One row per group with the exact discrete quantiles: the smallest value
     whose cumulative share reaches p.
 
-    The sketch of a first pass brackets each quantile between two values that are
-    certain to enclose it. A second pass counts the rows below the brackets and
-    the rows per value inside, summing map-side. Only those counts are ordered,
-    so the sort of a group is a few ten-thousandths of its rows, even where one
+    The sketch of a first pass brackets each quantile between two values that
+    enclose it. A second pass counts, map-side first, the rows outside the brackets
+    and the rows per value inside. Brackets that still hold more values than one
+    task should sort are cut into slices, of which only the one with the quantile
+    is kept, until all are small. So no sort grows with the group, even where one
     group holds a third of the table. A sketch that broke its error bound would
     fail the query, not falsify it.
     """
     margin = 2.0 / accuracy
-    names = list(probs)
-    edges = {}
-    for name, p in probs.items():
-        edges[f"lo_{name}"] = max(p - margin, 0.0)
-        edges[f"hi_{name}"] = min(p + margin, 1.0)
-    rows = df.select(key, value).where(F.col(value).isNotNull())
-    brackets = stage(
-        approx_quantiles(rows, key, value, edges, accuracy), "quantile-brackets"
-    ).withColumnRenamed(key, "__key")
-
-    # cell = the value itself inside a bracket, else null with the zone it lies in
-    v = F.col(value)
-    bracketed = rows.join(brackets, F.col(key).eqNullSafe(F.col("__key")))
-    inside = F.lit(False)
-    zone = F.lit(0)
+    names = sorted(probs, key=probs.__getitem__)
+    edges = {f"lo_{name}": max(probs[name] - margin, 0.0) for name in names}
+    edges |= {f"hi_{name}": min(probs[name] + margin, 1.0) for name in names}
+    rows = df.select(F.col(key).alias("key"), F.col(value).alias("v")).where("v IS NOT NULL")
+    brackets = stage(approx_quantiles(rows, "key", "v", edges, accuracy), "quantile-brackets")
+
+    # Rows outside all brackets are counted by the number of brackets they exceed.
+    v = F.col("v")
+    inside, exceeded = F.lit(False), F.lit(0)
     for name in names:
-        inside = inside | v.between(F.col(f"lo_{name}"), F.col(f"hi_{name}"))
-        zone = zone + F.when(v > F.col(f"hi_{name}"), 1).otherwise(0)
-    cells = (
-        bracketed.select(key, zone.alias("zone"), F.when(inside, v).alias("cell"))
-        .groupBy(key, "zone", "cell")
-        .agg(F.count(F.lit(1)).alias("n"))
+        inside = inside | _within(v, name)
+        exceeded = exceeded + F.when(v > F.col(f"hi_{name}"), 1).otherwise(0)
+    cells = stage(
+        _with_group(rows, brackets)
+        .select("key", exceeded.alias("exceeded"), F.when(inside, v).alias("cell"))
+        .groupBy("key", "exceeded", "cell")
+        .agg(F.count(F.lit(1)).alias("n")),
+        "quantile-cells",
     )
-    # Within a zone the rows without a cell lie below those with one: a zone
-    # starts above one bracket and ends with the next.
-    w = Window.partitionBy(key).orderBy("zone", F.col("cell").asc_nulls_first())
-    running = cells.withColumns(
-        {
-            "upto": F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)),
-            "total": F.sum("n").over(Window.partitionBy(key)),
-        }
-    )
-    picks = []
-    for name, p in probs.items():
-        target = F.ceil(F.lit(p) * F.col("total"))
-        is_pick = (F.col("upto") >= target) & (F.col("upto") - F.col("n") < target)
-        found = F.when(
-            is_pick,
-            F.coalesce(
-                F.col("cell"), F.raise_error(F.lit("quantile outside its bracket")).cast("double")
+
+    # Outside rows that exceed i brackets lie below the (i + 1)th and all after it.
+    cell = F.col("cell")
+    ranks = stage(
+        _with_group(cells, brackets)
+        .groupBy("key")
+        .agg(
+            F.sum("n").alias("total"),
+            *(
+                F.sum(
+                    F.when(
+                        F.coalesce(cell < F.col(f"lo_{name}"), F.col("exceeded") <= i), F.col("n")
+                    ).otherwise(0)
+                ).alias(f"below_{name}")
+                for i, name in enumerate(names)
             ),
+        ),
+        "quantile-ranks",
+    )
+
+    def candidate(name: str) -> Column:
+        target = F.greatest(F.ceil(F.lit(probs[name]) * F.col("total")), F.lit(1))
+        wanted = F.struct(
+            F.lit(name).alias("quantile"), (target - F.col(f"below_{name}")).alias("rank")
         )
-        picks.append(F.max(found).alias(name))
-    return running.groupBy(key).agg(*picks)
+        return F.when(_within(cell, name), wanted)
+
+    candidates = _with_group(_with_group(cells.where("cell IS NOT NULL"), brackets), ranks).select(
+        "key", "cell", "n", F.inline(F.array_compact(F.array(*(candidate(n) for n in names))))
+    )
+    if _largest_group(cells, "key") > rows_per_task:
+        candidates = stage(candidates, "quantile-candidates")
+        while _largest_group(candidates, "key", "quantile") > rows_per_task:
+            candidates = stage(_slice_with_rank(candidates), "quantile-candidates")
+
+    picked = _at_rank(candidates, "cell").groupBy("key").agg(
+        *(F.max(F.when(F.col("quantile") == name, cell)).alias(name) for name in names)
+    )
+    lost = F.raise_error(F.lit("a quantile lies outside its bracket"))
+    complete = ranks.select("key").join(
+        picked.withColumnRenamed("key", "__key"), F.col("key").eqNullSafe(F.col("__key")), "left"
+    )
+    return complete.select(
+        F.col("key").alias(key),
+        *(F.coalesce(name, lost.cast(picked.schema[name].dataType)).alias(name) for name in probs),
+    )
+
+
+def _within(value: Column, name: str) -> Column:
+    return value.between(F.col(f"lo_{name}"), F.col(f"hi_{name}"))
+
+
+def _with_group(df: DataFrame, groups: DataFrame) -> DataFrame:
+    """Attach the one row per group; null is a group as well."""
+    right = groups.withColumnRenamed("key", "__key")
+    return df.join(right, F.col("key").eqNullSafe(F.col("__key"))).drop("__key")
+
+
+def _largest_group(df: DataFrame, *keys: str) -> int:
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
+    return sizes.agg(F.max("size")).first()[0] or 0
+
+
+def _at_rank(counted: DataFrame, order: str) -> DataFrame:
+    """Per group and quantile the entry at ``rank``, ``before`` rows being below it."""
+    w = Window.partitionBy("key", "quantile").orderBy(order)
+    upto = F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return counted.withColumn("before", upto - F.col("n")).where(
+        "before < rank AND rank <= before + n"
+    )
+
+
+def _slice_with_rank(candidates: DataFrame) -> DataFrame:
+    """Cut each group's range of values into equal slices and keep the slice that
+    holds its rank. The least and the greatest value never share a slice."""
+    spans = candidates.groupBy("key", "quantile").agg(
+        F.min("cell").alias("least"), F.max("cell").alias("greatest")
+    )
+    position = F.try_divide(
+        F.col("cell") * 0.5 - F.col("least") * 0.5, F.col("greatest") * 0.5 - F.col("least") * 0.5
+    )
+    sliced = _same_group(candidates, stage(spans, "quantile-spans")).withColumn(
+        "slice", F.floor(F.coalesce(position, F.lit(0.0)) * SLICES)
+    )
+    counted = sliced.groupBy("key", "quantile", "rank", "slice").agg(F.sum("n").alias("n"))
+    kept = _at_rank(counted, "slice").select("key", "quantile", F.col("slice").alias("kept"), "before")
+    return (
+        _same_group(sliced, stage(kept, "quantile-slices"))
+        .where("slice = kept")
+        .select("key", "cell", "n", "quantile", (F.col("rank") - F.col("before")).alias("rank"))
+    )
+
+
+def _same_group(df: DataFrame, groups: DataFrame) -> DataFrame:
+    right = groups.withColumnsRenamed({"key": "__key", "quantile": "__quantile"})
+    same = F.col("key").eqNullSafe(F.col("__key")) & (F.col("quantile") == F.col("__quantile"))
+    return df.join(right, same).drop("__key", "__quantile")
