@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -32,7 +31,7 @@ HEADLINE = """
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
+    spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("reportmart-bench")
         .config("spark.driver.memory", "12g")
@@ -40,10 +39,8 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
     )
-    if "spark.checkpoint.dir" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
-        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
-    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 
     times: dict[str, float] = {}
