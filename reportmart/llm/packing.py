@@ -97,7 +97,7 @@ class Packer:
         whole = len(ids) // 4
         for start in range(0, whole, self.tokens):
             part = ids[4 * start : 4 * (start + self.tokens)]
-            if not self.free:
+            while not self.free:
                 self._fill(self.tokens)
             self._set(self.free.pop(), (row_id, part, start, loss_from, whole))
 

@@ -180,17 +180,14 @@ def forest(a: np.ndarray, b: np.ndarray, bits: int) -> Iterator[tuple[int, int]]
         linked[right, rows] = near.T
     waiting = linked.any(axis=1)
     while waiting.any():
-        root = int(np.argmax(waiting))
-        front = np.zeros(n, bool)
-        front[root] = True
-        reached = front.copy()
-        while front.any():
-            front = linked[front].any(axis=0) & ~reached
-            reached |= front
-        waiting &= ~reached
-        for node in np.flatnonzero(reached):
-            if node != root:
-                yield root, int(node)
+        front = np.array([np.argmax(waiting)])
+        waiting[front] = False
+        while len(front):
+            ahead = linked[front]
+            new = np.flatnonzero(ahead.any(axis=0) & waiting)
+            yield from zip(front[ahead[:, new].argmax(axis=0)].tolist(), new.tolist())
+            waiting[new] = False
+            front = new
 
 
 def links_of_blocks(bits: int):
