@@ -92,25 +92,27 @@ def matches(text: Column, pattern: Column) -> tuple[Column, Column]:
 def kind_matches(kind: str, text: Column) -> Column:
     """The matches of a kind with what stands around them, as an array."""
     found, pieces = matches(text, F.lit(PATTERNS[kind]))
+    # Side by side, so that no element is looked up by its place in another array.
+    after = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces), F.lit(1)))
+    zipped = F.arrays_zip(found.alias("value"), pieces.alias("before"), after.alias("after"))
 
-    def describe(value: Column, at: Column) -> Column:
-        before, after = F.get(pieces, at), F.get(pieces, at + 1)
+    def describe(m: Column, at: Column) -> Column:
+        left, right = F.right(m["before"], F.lit(CONTEXT)), F.left(m["after"], F.lit(CONTEXT))
         return F.struct(
             F.lit(KINDS.index(kind)).alias("kind"),
             at.alias("at"),
-            F.length(before).alias("gap"),
-            F.length(value).alias("length"),
-            is_valid(kind, value).alias("valid"),
-            entity_of(kind, value).alias("entity"),
-            F.concat_ws(" ", F.right(before, F.lit(CONTEXT)), F.left(after, F.lit(CONTEXT))).alias(
-                "context"
-            ),
+            F.length(m["before"]).alias("gap"),
+            F.length(m["value"]).alias("length"),
+            is_valid(kind, m["value"]).alias("valid"),
+            entity_of(kind, m["value"]).alias("entity"),
+            F.concat_ws(" ", left, right).alias("context"),
         )
 
+    described = F.transform(F.filter(zipped, lambda m: m["value"].isNotNull()), describe)
     none = F.array().cast(
         "array<struct<kind:int,at:int,gap:int,length:int,valid:boolean,entity:string,context:string>>"
     )
-    return F.when(text.rlike(HINTS[kind]), F.transform(found, describe)).otherwise(none)
+    return F.when(text.rlike(HINTS[kind]), described).otherwise(none)
 
 
 def with_matches(docs: DataFrame, text_col: str) -> DataFrame:
@@ -208,11 +210,11 @@ def term_matches(text: Column, pattern: Column) -> Column:
     """The matches of a pattern of terms, with the length of the piece before each."""
     found, pieces = matches(text, pattern)
 
-    def describe(value: Column, at: Column) -> Column:
-        gap = F.length(F.get(pieces, at))
-        return F.struct(gap.alias("gap"), F.length(value).alias("length"))
+    def describe(value: Column, before: Column) -> Column:
+        return F.struct(F.length(before).alias("gap"), F.length(value).alias("length"))
 
-    return F.transform(found, describe)
+    # One piece more than matches: what follows the last one.
+    return F.filter(F.zip_with(found, pieces, describe), lambda m: m["length"].isNotNull())
 
 
 def personal_spans(
@@ -270,12 +272,11 @@ def mask_kind(kind: str, text: Column) -> Column:
     """``text`` with the valid matches of a kind replaced by the kind's name."""
     found, pieces = matches(text, F.lit(PATTERNS[kind]))
 
-    def one(piece: Column, at: Column) -> Column:
-        value = F.get(found, at)
-        masked = F.when(is_valid(kind, value), F.lit(MASKS[kind])).otherwise(value)
-        return F.concat(piece, F.coalesce(masked, F.lit("")))
+    def one(piece: Column, value: Column) -> Column:
+        shown = F.when(value.isNull(), "").when(is_valid(kind, value), MASKS[kind]).otherwise(value)
+        return F.concat(piece, shown)
 
-    masked = F.array_join(F.transform(pieces, one), "")
+    masked = F.array_join(F.zip_with(pieces, found, one), "")
     return F.when(text.rlike(HINTS[kind]), masked).otherwise(text)
 
 
