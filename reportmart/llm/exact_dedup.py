@@ -72,6 +72,9 @@ def exact_groups(
         F.max("keep_id").alias("keep_id"),
         F.max("n").alias("group_size"),
     )
+    # Written, so that the join below reads shuffles on both sides, and Spark can split
+    # the rows of a hot digest.
+    by_digest = stage(by_digest, "digest-groups")
     single = by_digest.where("texts = 1").drop("texts")
     found = ids.join(single, "digest")
     collided = stage(by_digest.where("texts > 1").select("digest"), "collided-digests")
