@@ -165,7 +165,7 @@ class Disclosure:
         pairs = stage(pairs.where(F.col("co") >= min_support), "near-terms")
         entities = near.select("key", "entity").distinct()
         entities = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("df_e"))
-        terms = corpus_counts(docs, text_col, pairs.select("term").distinct())
+        terms = corpus_counts(docs, text_col)
         n = F.lit(float(docs.count()))
         measured = pairs.join(entities, "entity").join(terms, "term")
         mutual = F.log(F.col("co") * n / (F.col("df_t") * F.col("df_e")))
@@ -190,12 +190,12 @@ class Disclosure:
         )
 
 
-def corpus_counts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
-    """Number of documents with each wanted ``term``, over the whole corpus."""
+def corpus_counts(docs: DataFrame, text_col: str) -> DataFrame:
+    """Number of documents with each ``term``, over the whole corpus. Each task combines
+    the terms that it reads, so what is shuffled follows the vocabulary."""
     words = F.regexp_extract_all(F.lower(text_of(docs, text_col)), F.lit(WORD), F.lit(0))
     found = docs.select(F.explode(F.array_distinct(words)).alias("term"))
-    counted = found.join(wanted, "term", "left_semi").groupBy("term")
-    return counted.agg(F.count(F.lit(1)).alias("df_t"))
+    return found.groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
 
 
 def term_pattern(terms: Column) -> Column:
