@@ -15,6 +15,7 @@ costs only the tasks it ran.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import cache
 
@@ -24,7 +25,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .common import rows_of, text_of
-from .words import COMMON, Kept, slices, units
+from .words import (
+    COMMON,
+    PATTERN,
+    Kept,
+    byte_letters,
+    byte_level_spec,
+    irregular,
+    merges_of,
+    slices,
+    units,
+)
 
 PIECE = pa.schema(
     [
@@ -42,26 +53,55 @@ PIECE = pa.schema(
 
 
 class Encoder:
-    """Identifiers of texts, as little-endian unsigned 32-bit numbers, by the
-    ``tokenizers`` library. A unit's identifiers are kept for its next occurrence."""
+    """Identifiers of texts, as little-endian unsigned 32-bit numbers, as the ``tokenizers``
+    library gives them. Short units of plain byte-level vocabularies go to ``tiktoken`` with
+    the merges of the same file, which takes a third of the time, and a unit's identifiers
+    are kept for its next occurrence."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.kept = Kept(self._ids)
+        self.quick = quick_encoding(path)
+        self.kept = Kept(self._unit)
+        self.after_space = Kept(lambda word: self._unit(" " + word))
 
     def _ids(self, text: str) -> bytes:
         found = self.library.encode(text, add_special_tokens=False).ids
         return np.array(found, "<u4").tobytes()
 
+    def _unit(self, unit: str) -> bytes:
+        return array("I", self.quick.encode_ordinary(unit)).tobytes()
+
+    def _part(self, text: str) -> bytes:
+        if irregular(text):
+            return b"".join(map(self.kept.__getitem__, units(text)))
+        head, *rest = text.split(" ")
+        rest = b"".join(map(self.after_space.__getitem__, rest))
+        return self.kept[head] + rest if head else rest
+
     def ids(self, text: str) -> bytes:
-        if COMMON.search(text) or any(s in text for s in self.special):
+        if not self.quick or COMMON.search(text) or any(s in text for s in self.special):
             return self._ids(text)
-        return b"".join(
-            [b"".join(map(self.kept.__getitem__, units(part))) for part in slices(text)]
-        )
+        return b"".join([self._part(part) for part in slices(text)])
+
+
+def quick_encoding(path: str):
+    """The vocabulary for ``tiktoken``; None where identifiers are not in the order of the
+    merges, or the vocabulary is of another kind."""
+    import tiktoken
+
+    spec = byte_level_spec(path)
+    if spec is None:
+        return None
+    vocabulary = spec["model"]["vocab"]
+    order = [vocabulary[a + b] for a, b in merges_of(spec)]
+    if order != sorted(set(order)):
+        return None
+    byte_of = {letter: byte for byte, letter in enumerate(byte_letters())}
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in vocabulary.items()}
+    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 @cache

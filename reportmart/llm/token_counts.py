@@ -10,7 +10,6 @@ of n bytes takes n log n steps, however long it is.
 from __future__ import annotations
 
 import heapq
-import json
 from functools import cache
 
 import pyarrow as pa
@@ -18,18 +17,16 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .common import by_row, text_of
-from .words import COMMON, PRETOKEN, Kept, slices, units
-
-COUNTS = "n_bytes long, n_tokens long, over_limit boolean"
-
-
-def byte_letters() -> list[str]:
-    """The character that stands for each byte in a byte-level vocabulary: itself
-    where it is printable in Latin-1, else the next one from 256 on."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in printable]
-    stand_in = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
-    return [stand_in[b] for b in range(256)]
+from .words import (
+    COMMON,
+    PRETOKEN,
+    Kept,
+    byte_letters,
+    byte_level_spec,
+    merges_of,
+    slices,
+    units,
+)
 
 
 def count_after_merges(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
@@ -76,22 +73,10 @@ class TokenCounter:
     pre-tokenizer of the file's own library; merging stays the same."""
 
     def __init__(self, path: str) -> None:
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        model, pre = spec["model"], spec["pre_tokenizer"]
-        plain = (
-            model["type"] == "BPE"
-            and pre["type"] == "ByteLevel"
-            and pre["use_regex"]
-            and not pre["add_prefix_space"]
-            and not spec["normalizer"]
-            and not model.get("ignore_merges")
-            and not any(t["normalized"] or t["single_word"] for t in spec["added_tokens"])
-        )
-        if not plain:
+        spec = byte_level_spec(path)
+        if spec is None:
             raise ValueError(f"{path} is no plain byte-level byte-pair vocabulary")
-        pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.ranks = {(a, b): rank for rank, (a, b) in enumerate(pairs)}
+        self.ranks = {pair: rank for rank, pair in enumerate(merges_of(spec))}
         self.letters = byte_letters()
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None

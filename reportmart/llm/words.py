@@ -8,6 +8,7 @@ again for its next occurrence.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -19,10 +20,14 @@ PRETOKEN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
     rf"| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 )
+#: Fixed value: the same pattern in the form that the libraries take.
+PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
 CUT = regex.compile(rf" (?=[^{WHITE}])")
-IRREGULAR = regex.compile(rf" (?:[{WHITE}]|$)")
 #: Letters and digits beyond this may differ between versions of Unicode.
 COMMON = regex.compile("[^\\x00-\\u024f]")
+AFTER_SPACE = [" " + c for c in "\t\n\x0b\x0c\r \x85\xa0"]
 
 
 def slices(text: str, size: int = 1 << 20) -> Iterator[str]:
@@ -38,11 +43,16 @@ def slices(text: str, size: int = 1 << 20) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+def irregular(text: str) -> bool:
+    """Whether white space or the end follows a space, in a text of common characters."""
+    return text[-1:] == " " or any(pair in text for pair in AFTER_SPACE)
+
+
 def units(text: str) -> list[str]:
     """Parts of ``text`` that can be encoded one by one."""
     if not text:
         return []
-    if IRREGULAR.search(text):
+    if irregular(text):
         return PRETOKEN.findall(text)
     head, *rest = text.split(" ")
     return [head, *[" " + word for word in rest]] if head else [" " + word for word in rest]
@@ -52,7 +62,7 @@ class Kept(dict):
     """Values of ``compute`` by key; emptied when it holds ``limit`` of them, so
     that memory stays bounded whatever the vocabulary."""
 
-    def __init__(self, compute: Callable[[str], Any], limit: int = 500_000) -> None:
+    def __init__(self, compute: Callable[[str], Any], limit: int = 1_000_000) -> None:
         super().__init__()
         self.compute, self.limit = compute, limit
 
@@ -63,3 +73,34 @@ class Kept(dict):
         if len(key) <= 64:
             self[key] = value
         return value
+
+
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself
+    where it is printable in Latin-1, else the next one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    stand_in = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+    return [stand_in[b] for b in range(256)]
+
+
+def byte_level_spec(path: str) -> dict | None:
+    """What the ``.json`` file of a plain byte-level byte-pair vocabulary says; None if it
+    is of another kind."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model, pre = spec["model"], spec["pre_tokenizer"] or {}
+    plain = (
+        model["type"] == "BPE"
+        and pre.get("type") == "ByteLevel"
+        and pre["use_regex"]
+        and not pre["add_prefix_space"]
+        and not spec["normalizer"]
+        and not model.get("ignore_merges")
+        and not any(t["normalized"] or t["single_word"] for t in spec["added_tokens"])
+    )
+    return spec if plain else None
+
+
+def merges_of(spec: dict) -> list[tuple[str, str]]:
+    return [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
