@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import text_of
 from .words import Kept
 
-ROWS = 4000
-CHARS = 20_000
+ROWS = 2000
+CHARS = 10_000
 CHAIN_ROWS = 1000
 THRESHOLD = 0.3
 TOKEN = re.compile(r"\S+")
@@ -140,20 +140,30 @@ def document_features(probabilities: list[np.ndarray]) -> np.ndarray:
 
 
 def telling_features(
-    bags: list[set[str]], toxic: np.ndarray, weight_clean: float
-) -> set[str]:
+    texts: list[str], toxic: np.ndarray, weight_clean: float
+) -> tuple[set[str], list[str]]:
     """Features that at least one in a hundred toxic documents has, and hardly any other:
-    at least four in five of the documents with it are toxic."""
-    with_it: Counter = Counter()
-    without: Counter = Counter()
-    for bag, label in zip(bags, toxic):
-        (with_it if label else without).update(bag)
+    at least four in five of the documents with it are toxic. And the commonest words."""
+
+    def count(label: bool, wanted: Counter | None = None) -> Counter:
+        found: Counter = Counter()
+        for text, own in zip(texts, toxic):
+            if own == label:
+                bag = {f for part in tokens_of(text) for t in set(part) for f in features(t)}
+                found.update(bag if wanted is None else bag & wanted.keys())
+        return found
+
+    with_it = count(True)
+    common = [f for f, _ in with_it.most_common(8000) if f[0] == "="][:2000]
     least = max(3, 0.01 * toxic.sum())
-    return {
+    with_it = Counter({f: n for f, n in with_it.items() if n >= least})
+    without = count(False, with_it)
+    telling = {
         f
         for f, n in with_it.items()
-        if n >= least and (n + 0.5) / (n + 1 + weight_clean * without[f]) >= 0.8
+        if (n + 0.5) / (n + 1 + weight_clean * without[f]) >= 0.8
     }
+    return telling, common
 
 
 def fit(texts: list[str], toxic: np.ndarray, weight_clean: float = 1.0) -> ToxicityModel:
@@ -164,26 +174,26 @@ def fit(texts: list[str], toxic: np.ndarray, weight_clean: float = 1.0) -> Toxic
     share = (n_toxic + 0.5) / (n_toxic + clean + 1)
     if not n_toxic or n_toxic == len(toxic):
         return ToxicityModel(document=np.array([np.log(share / (1 - share)), 0.0, 0.0, 0.0]))
-    tokens = [[t for part in tokens_of(text) for t in part] for text in texts]
-    kept = Kept(features)
-    bags = [{f for t in set(ts) for f in kept[t]} for ts in tokens]
-    telling = telling_features(bags, toxic, weight_clean)
-    common = Counter(f for bag in bags for f in bag if f[0] == "=").most_common(2000)
-    names = sorted(telling | {f for f, _ in common})
+    telling, common = telling_features(texts, toxic, weight_clean)
+    names = sorted(telling.union(common))
     number = {f: k for k, f in enumerate(names)}
 
     # The chain is fitted to some documents of each class, the shortest of them first.
-    by_length = sorted(range(len(tokens)), key=lambda i: len(tokens[i]))
-    own = [i for i in by_length if tokens[i] and toxic[i]][:CHAIN_ROWS]
-    own += [i for i in by_length if tokens[i] and not toxic[i]][:CHAIN_ROWS]
-    weights, bias, start, move = fit_chain(
-        [[[number[f] for f in kept[t] if f in number] for t in tokens[i]] for i in own],
-        [[toxic[i] and any(f in telling for f in kept[t]) for t in tokens[i]] for i in own],
-        len(names),
-    )
+    by_length = [i for i in sorted(range(len(texts)), key=lambda i: len(texts[i])) if texts[i].split()]
+    own = [i for i in by_length if toxic[i]][:CHAIN_ROWS]
+    own += [i for i in by_length if not toxic[i]][:CHAIN_ROWS]
+    known: list[list[list[int]]] = []
+    labels: list[list[bool]] = []
+    for i in own:
+        found = [features(t) for part in tokens_of(texts[i]) for t in part]
+        known.append([[number[f] for f in fs if f in number] for fs in found])
+        labels.append([bool(toxic[i]) and any(f in telling for f in fs) for fs in found])
+    weights, bias, start, move = fit_chain(known, labels, len(names))
     model = ToxicityModel(dict(zip(names, weights.tolist())), bias, start, move)
-    evidence = Kept(model.evidence)
-    found = model.probabilities([np.array([evidence[t] for t in ts], float) for ts in tokens])
+    evidence = Kept(model.evidence, limit=100_000)
+    found = model.probabilities(
+        [np.array([evidence[t] for part in tokens_of(text) for t in part], float) for text in texts]
+    )
     importance = np.where(toxic, 1.0, weight_clean)
     model.document = fit_logistic(document_features(found), toxic.astype(float), importance)
     return model
