@@ -62,7 +62,7 @@ class Kept(dict):
     """Values of ``compute`` by key; emptied when it holds ``limit`` of them, so
     that memory stays bounded whatever the vocabulary."""
 
-    def __init__(self, compute: Callable[[str], Any], limit: int = 1_000_000) -> None:
+    def __init__(self, compute: Callable[[str], Any], limit: int = 250_000) -> None:
         super().__init__()
         self.compute, self.limit = compute, limit
 
