@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.tables import read_if_present, write_table
@@ -66,7 +68,9 @@ def _versions(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
     snapshots = read_if_present(spark, path)
     if snapshots is None:
         return None, 0
-    return snapshots, int(snapshots.agg(F.max(F.col(VERSION).cast("int"))).first()[0])
+    # From the names of the files: a version may hold no rows.
+    found = (re.search(rf"/{VERSION}=(\d+)/", name) for name in snapshots.inputFiles())
+    return snapshots, max((int(version[1]) for version in found if version), default=0)
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame | None:

@@ -93,8 +93,7 @@ def exact_quantiles(
     )
     if _largest_group(cells, "key") > rows_per_task:
         candidates = stage(candidates, "quantile-candidates")
-        while _largest_group(candidates, "key", "quantile") > rows_per_task:
-            candidates = stage(_slice_with_rank(candidates), "quantile-candidates")
+        candidates = _part_with_rank(candidates, 1 + candidates.count() // rows_per_task)
 
     picked = _at_rank(candidates, "cell").groupBy("key").agg(
         *(F.max(F.when(F.col("quantile") == name, cell)).alias(name) for name in names)
@@ -133,23 +132,17 @@ def _at_rank(counted: DataFrame, order: str) -> DataFrame:
     )
 
 
-def _slice_with_rank(candidates: DataFrame) -> DataFrame:
-    """Cut each group's range of values into equal slices and keep the slice that
-    holds its rank. The least and the greatest value never share a slice."""
-    spans = candidates.groupBy("key", "quantile").agg(
-        F.min("cell").alias("least"), F.max("cell").alias("greatest")
-    )
-    position = F.try_divide(
-        F.col("cell") * 0.5 - F.col("least") * 0.5, F.col("greatest") * 0.5 - F.col("least") * 0.5
-    )
-    sliced = _same_group(candidates, stage(spans, "quantile-spans")).withColumn(
-        "slice", F.floor(F.coalesce(position, F.lit(0.0)) * SLICES)
-    )
-    counted = sliced.groupBy("key", "quantile", "rank", "slice").agg(F.sum("n").alias("n"))
-    kept = _at_rank(counted, "slice").select("key", "quantile", F.col("slice").alias("kept"), "before")
+def _part_with_rank(candidates: DataFrame, parts: int) -> DataFrame:
+    """Order all candidates over ``parts`` tasks and keep, per group and quantile, those
+    of the one task that holds the rank. A value occurs once in a group, so no task gets
+    more than its share, and any order of values will do, infinities and NaN included."""
+    ordered = candidates.repartitionByRange(parts, "key", "quantile", "cell")
+    ordered = stage(ordered.withColumn("part", F.spark_partition_id()), "quantile-parts")
+    counted = ordered.groupBy("key", "quantile", "rank", "part").agg(F.sum("n").alias("n"))
+    kept = _at_rank(counted, "part").select("key", "quantile", F.col("part").alias("kept"), "before")
     return (
-        _same_group(sliced, stage(kept, "quantile-slices"))
-        .where("slice = kept")
+        _same_group(ordered, stage(kept, "quantile-ranked-parts"))
+        .where("part = kept")
         .select("key", "cell", "n", "quantile", (F.col("rank") - F.col("before")).alias("rank"))
     )
 

@@ -70,7 +70,7 @@ from ..operators.trends import (
     rolling_average,
     underreporters,
 )
-from ..sources.landing import Landing, load_landing
+from ..sources.landing import Landing, load_landing, unique_memberships
 from ..sources.staging import stage
 from ..sources.tables import write_table
 from ..streaming.incremental import loaded_periods
@@ -240,7 +240,8 @@ def run(
     combos = stage(one_per_key(landing.category_option_combos, ["id"]), "combos")
     units = stage(one_per_key(landing.org_units, ["id"]), "units")
     tree = stage(flatten_tree(units), "tree")
-    bridge = stage(landing.de_program, "programme-elements")
+    programs = stage(one_per_key(landing.programs, ["id"]), "programmes")
+    bridge = stage(unique_memberships(landing.de_program, programs), "programme-elements")
 
     loaded = None
     if mode == "incremental":
@@ -303,29 +304,28 @@ def run(
     resolved = with_outcome(rows, RESOLVED)
     cleaned = stage(clean(resolved), "cleaned")
     limits = stage(outlier_limits(cleaned, exact=exact_quartiles), "outlier-limits")
+    scores = stage(completeness(resolve_units(cleaned, tree)), "scores")
+    flagged_rows = with_outlier_flag(cleaned, limits)
+    fact = stage(build_fact(describe(flagged_rows, elements, combos, tree), bridge), "fact")
+
+    # Both gates come before anything is published, so a failed run leaves the last good
+    # tables as they are and its periods count as not loaded.
+    check_nonempty(fact)
+    validate_contract(fact, contract)
+    # Counted on staged rows: a task that runs twice counts once.
+    flagged = flagged_rows.agg(*flag_tally_columns()).first()
     scores_path = f"{target}/completeness_scores"
-    scores = completeness(resolve_units(cleaned, tree))
     write_table(scores, scores_path, partition_by=["period"], replace=replace)
-    cleaned = describe(with_outlier_flag(cleaned, limits), elements, combos, tree)
-
-    flags = Observation("flags")
-    counted = cleaned.observe(flags, *flag_tally_columns())
-    if n[RESOLVED] == 0:
-        check_nonempty(cleaned)
-    fact = build_fact(counted, bridge)
     write_fact(fact, fact_path, replace=replace)
-    flagged = flags.get
 
     # A period reads back as a number unless its type is given.
     fact = spark.read.schema(fact.schema).parquet(fact_path)
     scores = spark.read.schema(scores.schema).parquet(scores_path)
-    check_nonempty(fact)
-    validate_contract(fact, contract)
 
     flat_tables = {
         "dim_data_element": elements,
         "dim_org_unit": units,
-        "dim_program": landing.programs,
+        "dim_program": programs,
     }
     found = long_series(fact, SERIES_KEY)
     findings = Observation("anomalies")

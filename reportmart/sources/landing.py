@@ -7,7 +7,9 @@ Three layouts of the same content are read:
 ``lines``     one JSON object per line, each with its own arrays. Splittable.
 ``records``   one document per file with one record per line between the
               brackets, as most exporters format it. Splittable, so a file that
-              holds a third of all records is read by many tasks.
+              holds a third of all records is read by many tasks. A line does not
+              say which array it is in, so a document with another array than the
+              wanted one fails the read.
 
 Schemas are fixed, never inferred, and malformed input fails the read.
 """
@@ -65,7 +67,7 @@ def read_records(
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
     if layout == "records":
-        return _read_record_lines(spark, path, record)
+        return _read_record_lines(spark, path, array, record)
     schema = StructType().add(array, ArrayType(StructType.fromDDL(record)))
     documents = (
         spark.read.schema(schema)
@@ -76,15 +78,18 @@ def read_records(
     return documents.select(F.inline(array))
 
 
-def _read_record_lines(spark: SparkSession, path: str, record: str) -> DataFrame:
+def _read_record_lines(spark: SparkSession, path: str, array: str, record: str) -> DataFrame:
     """Records that stand one per line. The lines around them may only open or
     close the document; anything else fails the read rather than losing a record."""
     line = F.trim(F.col("value"))
     text = F.regexp_replace(line, r",$", "")
     is_record = text.rlike(r"^\{.*\}$")
     is_frame = text.rlike(r'^(\{)?\s*("[A-Za-z]+"\s*:\s*)?\[?$|^\]?\s*\}?$')
-    checked = F.when(is_record, text).when(
-        ~is_frame, F.raise_error(F.concat(F.lit("not one record per line: "), line))
+    opened = F.regexp_extract(text, r'"([A-Za-z]+)"\s*:\s*\[', 1)
+    checked = (
+        F.when(is_record, text)
+        .when(~is_frame, F.raise_error(F.concat(F.lit("not one record per line: "), line)))
+        .when(~opened.isin("", array), F.raise_error(F.concat(F.lit("another array: "), line)))
     )
     return (
         spark.read.text(path)
@@ -158,6 +163,15 @@ def flatten_memberships(records: DataFrame) -> DataFrame:
     )
 
 
+def unique_memberships(memberships: DataFrame, programs: DataFrame) -> DataFrame:
+    """Each element of a programme once, with area and country as in ``programs``, which
+    has one row per programme."""
+    named = programs.select(
+        F.col("id").alias("program_id"), F.col("healthArea").alias("health_area"), "country"
+    )
+    return memberships.select("de_id", "program_id").distinct().join(named, "program_id")
+
+
 def load_landing(
     spark: SparkSession,
     folder: str,
@@ -191,4 +205,5 @@ __all__ = [
     "Landing",
     "load_landing",
     "read_records",
+    "unique_memberships",
 ]
