@@ -58,6 +58,7 @@ class Pieces:
         self.unknown_id = model.unk_id()
         self.unknown = min(score for score, _ in self.scores.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.scores))
+        self.prefixes = {p[:n] for p in self.scores for n in range(1, len(p) + 1)}
         self.by_words = not any(SPACE in p.lstrip(SPACE) for p in self.scores)
         self.word = Kept(self._whole)
 
@@ -76,14 +77,17 @@ class Pieces:
         that a piece from before ``stop`` reaches; with the last place before each."""
         best = {start: 0.0}
         back: dict[int, int] = {}
-        scores, longest, end = self.scores, self.longest, len(text)
+        scores, prefixes, longest, end = self.scores, self.prefixes, self.longest, len(text)
         for at in range(start, stop):
             now = best.get(at)
             if now is None:
                 continue
             known = False
             for to in range(at + 1, min(at + longest, end) + 1):
-                found = scores.get(text[at:to])
+                part = text[at:to]
+                if part not in prefixes:
+                    break  # no piece begins like this
+                found = scores.get(part)
                 if found is not None:
                     known = known or to == at + 1
                     total = now + found[0]
