@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -36,12 +37,17 @@ def without(df: DataFrame, dropped: DataFrame, on: dict[str, Column]) -> DataFra
 
 
 def by_row(
-    of_row: Callable[..., Iterable[tuple]], schema: pa.Schema, rows: int = 4096, size: int = 1 << 24
+    of_row: Callable[..., Iterable[tuple]],
+    schema: pa.Schema,
+    rows: int = 4096,
+    size: int = 1 << 24,
+    arrays: bool = False,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function for ``mapInArrow`` that turns each input row into result rows.
 
     A batch of results ends at ``rows`` rows or after input rows of ``size``
-    characters, so a batch stays small however long its texts are."""
+    characters, so a batch stays small however long its texts are. ``arrays``: see
+    ``rows_of``."""
 
     def batch(found: list[tuple]) -> pa.RecordBatch:
         columns = zip(*found) if found else ([] for _ in schema)
@@ -51,13 +57,13 @@ def by_row(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
         weight = 0
-        for row in rows_of(batches):
+        for row in rows_of(batches, arrays=arrays):
             for result in of_row(*row):
                 found.append(result)
                 if len(found) >= rows:
                     yield batch(found)
                     found, weight = [], 0
-            weight += sum(len(v) for v in row if isinstance(v, (str, bytes)))
+            weight += sum(len(v) for v in row if isinstance(v, (str, bytes, np.ndarray)))
             if weight >= size:
                 yield batch(found)
                 found, weight = [], 0
@@ -66,9 +72,19 @@ def by_row(
     return run
 
 
-def rows_of(batches: Iterator[pa.RecordBatch], step: int = 64) -> Iterator[tuple]:
-    """The rows of all batches, a few at a time as Python objects."""
+def rows_of(
+    batches: Iterator[pa.RecordBatch], step: int = 64, arrays: bool = False
+) -> Iterator[tuple]:
+    """The rows of all batches, a few at a time as Python objects. With ``arrays`` lists of
+    numbers, which hold no null, come as numpy arrays: that takes far less time."""
     for whole in batches:
         for at in range(0, whole.num_rows, step):
             part = whole.slice(at, step)
-            yield from zip(*(column.to_pylist() for column in part.columns))
+            yield from zip(*(objects(column, arrays) for column in part.columns))
+
+
+def objects(column: pa.Array, arrays: bool) -> list:
+    if not (arrays and pa.types.is_list(column.type)):
+        return column.to_pylist()
+    stops = np.cumsum(np.asarray(column.value_lengths()))[:-1]
+    return np.split(column.flatten().to_numpy(), stops)

@@ -58,7 +58,9 @@ class Pieces:
         self.unknown_id = model.unk_id()
         self.unknown = min(score for score, _ in self.scores.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.scores))
-        self.prefixes = {p[:n] for p in self.scores for n in range(1, len(p) + 1)}
+        # The score of each piece, and that there is none for what only begins one.
+        self.begun = {p[:n]: NEVER for p in self.scores for n in range(1, len(p) + 1)}
+        self.begun.update((p, score) for p, (score, _) in self.scores.items())
         self.by_words = not any(SPACE in p.lstrip(SPACE) for p in self.scores)
         self.word = Kept(self._whole)
 
@@ -77,27 +79,23 @@ class Pieces:
         that a piece from before ``stop`` reaches; with the last place before each."""
         best = {start: 0.0}
         back: dict[int, int] = {}
-        scores, prefixes, longest, end = self.scores, self.prefixes, self.longest, len(text)
+        begun, longest, end = self.begun, self.longest, len(text)
         for at in range(start, stop):
             now = best.get(at)
             if now is None:
                 continue
-            known = False
             for to in range(at + 1, min(at + longest, end) + 1):
-                part = text[at:to]
-                if part not in prefixes:
+                score = begun.get(text[at:to])
+                if score is None:
                     break  # no piece begins like this
-                found = scores.get(part)
-                if found is not None:
-                    known = known or to == at + 1
-                    total = now + found[0]
-                    if total > best.get(to, NEVER):
-                        best[to], back[to] = total, at
-            if not known and now + self.unknown > best.get(at + 1, NEVER):
+                total = now + score
+                if total > best.get(to, NEVER):
+                    best[to], back[to] = total, at
+            if text[at] not in self.scores and now + self.unknown > best.get(at + 1, NEVER):
                 best[at + 1], back[at + 1] = now + self.unknown, at
         return best, back
 
-    def trace(self, text: str, back: dict[int, int], start: int, stop: int) -> list[int]:
+    def trace(self, text: str, back: dict[int, int] | list[int], start: int, stop: int) -> list[int]:
         """Identifiers of the path that ends at ``stop``."""
         parts = []
         while stop > start:
@@ -108,8 +106,23 @@ class Pieces:
         return [i for part in reversed(parts) for i in part]
 
     def _whole(self, word: str) -> tuple[float, list[int]]:
-        best, back = self.forward(word, 0, len(word))
-        return best[len(word)], self.trace(word, back, 0, len(word))
+        """Score and identifiers of a word: ``forward`` and ``trace`` over lists, as each
+        place inside a word is reached."""
+        score_of, single, n = self.begun.get, self.scores, len(word)
+        best = [0.0] + [NEVER] * n
+        back = [0] * (n + 1)
+        for at in range(n):
+            now, to = best[at], at + 1
+            while to <= n:
+                score = score_of(word[at:to])
+                if score is None:
+                    break
+                if now + score > best[to]:
+                    best[to], back[to] = now + score, at
+                to += 1
+            if now + self.unknown > best[at + 1] and word[at] not in single:
+                best[at + 1], back[at + 1] = now + self.unknown, at
+        return best[n], self.trace(word, back, 0, n)
 
     def cuts(self, text: str) -> list[int]:
         """Places inside a text that every path has."""
@@ -345,9 +358,9 @@ def decode(encoded: DataFrame, path: str, *, id_col: str = "doc_id") -> DataFram
     )
 
     def of_row(row_id, row, number, n, ids) -> list[tuple]:
-        text = pieces(path).decode(ids).replace(SPACE, " ")
+        text = pieces(path).decode(ids.tolist()).replace(SPACE, " ")
         text = text.removeprefix(" ") if number == 0 else text
-        crc = zlib.crc32(np.array(ids, "<u4").tobytes())
+        crc = zlib.crc32(ids.astype("<u4").tobytes())
         return [(row_id, row, number, n, text, len(ids), crc)]
 
     numbers = ("row", "chunk", "n_chunks", "n_tokens", "ids_crc32")
@@ -355,7 +368,7 @@ def decode(encoded: DataFrame, path: str, *, id_col: str = "doc_id") -> DataFram
     order = ["id", "row", "chunk", "n_chunks", "text", "n_tokens", "ids_crc32"]
     schema = pa.schema([(name, types[name]) for name in order])
     found = rows.mapInArrow(
-        by_row(of_row, schema),
+        by_row(of_row, schema, arrays=True),
         "id string, row long, chunk long, n_chunks long, text string, n_tokens long, "
         "ids_crc32 long",
     )

@@ -59,17 +59,22 @@ def units(text: str) -> list[str]:
 
 
 class Kept(dict):
-    """Values of ``compute`` by key; emptied when it holds ``limit`` of them, so
-    that memory stays bounded whatever the vocabulary."""
+    """Values of ``compute`` by key. When it holds half of ``limit`` values they grow old,
+    and older ones go; an old value that is asked for again is young again. So memory
+    stays bounded whatever the vocabulary, and frequent keys stay."""
 
     def __init__(self, compute: Callable[[str], Any], limit: int = 250_000) -> None:
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.half = compute, limit // 2
+        self.old: dict[str, Any] = {}
 
     def __missing__(self, key: str) -> Any:
-        if len(self) >= self.limit:
+        if len(self) >= self.half:
+            self.old = dict(self)
             self.clear()
-        value = self.compute(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(key) <= 64:
             self[key] = value
         return value
