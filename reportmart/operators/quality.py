@@ -103,8 +103,13 @@ def outlier_limits(
 ) -> DataFrame:
     """Quartiles and fences per group, over all rows of the group."""
     quantiles = exact_quantiles if exact else approx_quantiles
+    return with_fences(quantiles(df, key, value, QUARTILES), iqrs)
+
+
+def with_fences(quartiles: DataFrame, iqrs: float = FENCE_IQRS) -> DataFrame:
+    """Add the fences, ``iqrs`` times the distance of the quartiles beyond them."""
     spread = F.col("q3") - F.col("q1")
-    return quantiles(df, key, value, QUARTILES).withColumns(
+    return quartiles.withColumns(
         {"fence_low": F.col("q1") - iqrs * spread, "fence_high": F.col("q3") + iqrs * spread}
     )
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reportmart.operators import anomaly, drift, quality, resolve, rollups, rules, star, tree, trends
+from reportmart.operators import anomaly, drift, quality, quantiles, resolve, rollups, rules, star, tree, trends
 from reportmart.operators.contract import (
     FACT_CONTRACT,
     ColumnSpec,
@@ -215,6 +215,20 @@ def outlier_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.outlier_limits(model.cleaned_table(spark, sf_dir), exact=True)
 
 
+#: So few rows a task that every series and every bracket is split, at any scale.
+SPLIT_ROWS = 20
+
+
+@query
+def outlier_limits_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact limits, with the values of all brackets ordered over many tasks."""
+    values = model.cleaned_table(spark, sf_dir)
+    quartiles = quantiles.exact_quantiles(
+        values, "dataElement", "typed_value", quality.QUARTILES, accuracy=20, rows_per_task=SPLIT_ROWS
+    )
+    return quality.with_fences(quartiles)
+
+
 @query
 def iqr_outlier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged_events(spark, sf_dir).where("is_outlier")
@@ -378,6 +392,12 @@ def rolling_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.rolling_average(model.fact_table(spark, sf_dir))
 
 
+@query
+def rolling_avg_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rolling average with long series windowed by chunk."""
+    return trends.rolling_average(model.fact_table(spark, sf_dir), rows_per_task=SPLIT_ROWS)
+
+
 @query
 def rolling_avg_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.rolling_average_by_month(model.fact_table(spark, sf_dir))
@@ -456,6 +476,13 @@ def anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(anomaly.detect_anomalies(model.fact_table(spark, sf_dir)), "z_score")
 
 
+@query
+def anomalies_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The findings with long series windowed by chunk."""
+    fact = model.fact_table(spark, sf_dir)
+    return rounded(anomaly.detect_anomalies(fact, rows_per_task=SPLIT_ROWS), "z_score")
+
+
 @query
 def event_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = anomaly.detect_anomalies(

@@ -210,10 +210,7 @@ def registry(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The values as landed: written once per session, as an export would be."""
     values = flatten_values(value_records(spark, sf_dir))
-    files = len(table(spark, sf_dir, "lineitem").inputFiles())
-    if files < spark.sparkContext.defaultParallelism:
-        values = values.hint("rebalance")  # too few files to occupy the cores
-    return stage(values, "landed-values")
+    return stage(values.hint("rebalance"), "landed-values")
 
 
 def landing(spark: SparkSession, sf_dir: str) -> Landing:

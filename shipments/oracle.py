@@ -476,4 +476,8 @@ SELECTS = {
         FROM fact GROUP BY ALL""",
 }
 
+# The same results by the branches that split what is too large for a task.
+for plain in ("outlier_limits", "rolling_avg", "anomalies"):
+    SELECTS[f"{plain}_split"] = SELECTS[plain]
+
 ORACLE = {name: statement(select) for name, select in SELECTS.items()}
