@@ -11,15 +11,17 @@ then inside each group, and then each chunk is traced back by itself.
 
 No piece holds a space after another character, so every path has a node before a space
 that follows another character. Between two such places the best path does not depend on
-the rest: it is computed once for each word and kept.
+the rest: it is computed once for each word and kept. The words of several texts that are
+not kept yet are searched side by side: all of them step from one place to the next.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,6 +38,8 @@ SPACE = "▁"
 NEVER = -np.inf
 #: Fixed value: an unknown character scores this much below the least piece.
 UNKNOWN_PENALTY = 10.0
+#: Texts that are encoded together.
+TEXTS = 64
 
 
 class Pieces:
@@ -63,6 +67,14 @@ class Pieces:
         self.begun.update((p, score) for p, (score, _) in self.scores.items())
         self.by_words = not any(SPACE in p.lstrip(SPACE) for p in self.scores)
         self.word = Kept(self._whole)
+        # The same as a trie over arrays: node 0 is the root, and the child of a node by a
+        # character is where their joint key stands in ``edges``.
+        node = {prefix: at for at, prefix in enumerate(self.begun, 1)} | {"": 0}
+        edge = np.array([node[p[:-1]] << 21 | ord(p[-1]) for p in self.begun], np.int64)
+        order = np.argsort(edge)
+        self.edges, self.children = edge[order], order + 1
+        self.node_score = np.array([NEVER, *self.begun.values()])
+        self.node_id = np.array([-1, *(self.scores.get(p, (0, -1))[1] for p in self.begun)])
 
     @staticmethod
     def normalise(text: str) -> str:
@@ -105,9 +117,9 @@ class Pieces:
             stop = before
         return [i for part in reversed(parts) for i in part]
 
-    def _whole(self, word: str) -> tuple[float, list[int]]:
-        """Score and identifiers of a word: ``forward`` and ``trace`` over lists, as each
-        place inside a word is reached."""
+    def _whole(self, word: str) -> tuple[float, bytes]:
+        """Score and identifiers of a word, as little-endian 32-bit numbers: ``forward`` and
+        ``trace`` over lists, as each place inside a word is reached."""
         score_of, single, n = self.begun.get, self.scores, len(word)
         best = [0.0] + [NEVER] * n
         back = [0] * (n + 1)
@@ -122,7 +134,79 @@ class Pieces:
                 to += 1
             if now + self.unknown > best[at + 1] and word[at] not in single:
                 best[at + 1], back[at + 1] = now + self.unknown, at
-        return best[n], self.trace(word, back, 0, n)
+        return best[n], np.array(self.trace(word, back, 0, n), "<i4").tobytes()
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Keep score and identifiers of all ``words``."""
+        self.word.fill(set(words), self._side_by_side)
+
+    def _lattice(self, chars: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Start, length, score and identifier of every piece in ``chars``, where ``left`` is
+        the number of characters up to the end of the word. An unknown character is a piece
+        whose identifier is -1 less its code point."""
+        at, node = np.arange(len(chars)), np.zeros(len(chars), np.int64)
+        known = np.zeros(len(chars), bool)
+        found = []
+        for size in range(1, self.longest + 1):
+            inside = left[at] >= size
+            at, node = at[inside], node[inside]
+            key = node << 21 | chars[at + size - 1]
+            where = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+            begun = self.edges[where] == key
+            at, node = at[begun], self.children[where[begun]]
+            score = self.node_score[node]
+            piece = score > NEVER
+            if size == 1:
+                known[at[piece]] = True
+            found.append((at[piece], np.full(piece.sum(), size), score[piece], self.node_id[node[piece]]))
+        lost = np.flatnonzero(~known)
+        found.append((lost, np.ones_like(lost), np.full(len(lost), self.unknown), -1 - chars[lost]))
+        return tuple(map(np.concatenate, zip(*found)))
+
+    def _side_by_side(self, words: list[str]) -> Iterator[tuple[float, bytes]]:
+        """``_whole`` of each word."""
+        sizes = np.array([len(w) for w in words])
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+        word = np.repeat(np.arange(len(words)), sizes)
+        begin = np.cumsum(sizes) - sizes
+        place = np.arange(len(chars)) - begin[word]
+        start, size, score, name = self._lattice(chars, sizes[word] - place)
+        # A word has one node more than characters.
+        origin, node = begin + np.arange(len(words)), start + word[start]
+        order = np.argsort(place[start], kind="stable")
+        stops = np.cumsum(np.bincount(place[start]))
+        best = np.full(len(chars) + len(words), NEVER)
+        back, via = np.zeros(len(best), np.int64), np.zeros(len(best), np.int64)
+        best[origin] = 0.0
+        for step in np.split(order, stops[:-1]):
+            # Pieces that begin at the same place of a word end at different ones.
+            to, total = node[step] + size[step], best[node[step]] + score[step]
+            better = total > best[to]
+            step, to = step[better], to[better]
+            best[to], back[to], via[to] = total[better], node[step], name[step]
+        now, owner = origin + sizes, np.arange(len(words))
+        scores = best[now].tolist()
+        names, owners = [], []
+        while len(now):
+            names.append(via[now])
+            owners.append(owner)
+            now = back[now]
+            going = now > origin[owner]
+            now, owner = now[going], owner[going]
+        owner, name = np.concatenate(owners[::-1]), np.concatenate(names[::-1])
+        order = np.argsort(owner, kind="stable")
+        name, owner = name[order], owner[order]
+        # Unknown characters give way to the identifiers of their bytes.
+        lost = np.flatnonzero(name < 0)
+        if len(lost):
+            instead = [self.unknown_ids(chr(-1 - n)) for n in name[lost].tolist()]
+            times = np.ones(len(name), np.int64)
+            times[lost] = [len(ids) for ids in instead]
+            name, owner = np.repeat(name, times), np.repeat(owner, times)
+            name[name < 0] = [i for ids in instead for i in ids]
+        ends = (4 * np.cumsum(np.bincount(owner))).tolist()
+        data = name.astype("<i4").tobytes()
+        return zip(scores, [data[a:b] for a, b in zip([0, *ends], ends)])
 
     def cuts(self, text: str) -> list[int]:
         """Places inside a text that every path has."""
@@ -135,16 +219,23 @@ class Pieces:
             return [text] if text else []
         return re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", text)
 
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Identifiers of normalised texts that are no chunks of larger ones."""
+        words = [self.words(text) for text in texts]
+        self.learn(chain.from_iterable(words))
+        return [np.frombuffer(b"".join([self.word[w][1] for w in own]), "<i4") for own in words]
+
     def encode(self, text: str) -> list[int]:
-        """Identifiers of a normalised text that is no chunk of a larger one."""
-        return [i for word in self.words(text) for i in self.word[word][1]]
+        return self.encode_all([text])[0].tolist()
 
     def matrix(self, text: str, length: int) -> np.ndarray:
         """Largest scores from each entry state to each exit state of a chunk: the first
         ``length`` characters of ``text``, which goes on as far as a piece may reach."""
         cuts = [c for c in self.cuts(text) if c <= length]
         first, last = (cuts[0], cuts[-1]) if cuts else (length, 0)
-        between = sum(self.word[w][0] for w in self.words(text[first:last])) if cuts else 0.0
+        inner = self.words(text[first:last]) if cuts else []
+        self.learn(inner)
+        between = sum(self.word[w][0] for w in inner)
         tail = self._exits(text, last, length) if cuts else None
         rows = []
         for entry in range(self.longest):
@@ -174,7 +265,7 @@ class Pieces:
         first, last = cuts[0], cuts[-1]
         _, back = self.forward(text[:first], entry, first)
         head = self.trace(text[:first], back, entry, first)
-        middle = [i for w in self.words(text[first:last]) for i in self.word[w][1]]
+        middle = self.encode(text[first:last])
         _, back = self.forward(text, last, length)
         return head + middle + self.trace(text, back, last, stop)
 
@@ -253,13 +344,19 @@ def encode(
         ]
     )
 
-    def whole(row_id, text, row) -> list[tuple]:
-        text = Pieces.normalise(text)
-        return [(row_id, row, 0, 1, len(text), 0, pieces(path).encode(text))]
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):
+                row_ids, texts, numbers = (c.to_pylist() for c in batch.slice(at, TEXTS).columns)
+                texts = [Pieces.normalise(text) for text in texts]
+                n, ids = len(texts), pieces(path).encode_all(texts)
+                columns = [row_ids, numbers, [0] * n, [1] * n, list(map(len, texts)), [0] * n, ids]
+                arrays = [pa.array(c, f.type) for c, f in zip(columns, result)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=result)
 
     # A normalised text is one character longer.
     giant = F.length("t") >= chunk
-    small = rows.where(~giant).mapInArrow(by_row(whole, result), columns)
+    small = rows.where(~giant).mapInArrow(whole, columns)
 
     cut_schema = pa.schema(
         [

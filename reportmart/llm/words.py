@@ -9,7 +9,7 @@ again for its next occurrence.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import regex
@@ -27,6 +27,8 @@ PATTERN = (
 CUT = regex.compile(rf" (?=[^{WHITE}])")
 #: Letters and digits beyond this may differ between versions of Unicode.
 COMMON = regex.compile("[^\\x00-\\u024f]")
+#: Values of longer keys are not kept, and so many are computed at once.
+LONGEST_KEPT, ABREAST = 64, 8192
 AFTER_SPACE = [" " + c for c in "\t\n\x0b\x0c\r \x85\xa0"]
 
 
@@ -69,16 +71,28 @@ class Kept(dict):
         self.old: dict[str, Any] = {}
 
     def __missing__(self, key: str) -> Any:
-        if len(self) >= self.half:
-            self.old = dict(self)
-            self.clear()
+        self.age()
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
-        if len(key) <= 64:
+        if len(key) <= LONGEST_KEPT:
             self[key] = value
         return value
 
+    def age(self) -> None:
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+
+    def fill(self, keys: Iterable[str], compute_all: Callable[[list[str]], Iterable]) -> None:
+        """Compute the values of those ``keys`` at once that it would keep and does not hold."""
+        old = self.old
+        missing = [k for k in keys if k not in self and k not in old and len(k) <= LONGEST_KEPT]
+        for at in range(0, len(missing), ABREAST):
+            self.age()
+            part = missing[at : at + ABREAST]
+            self.update(zip(part, compute_all(part)))
+
 
 def byte_letters() -> list[str]:
     """The character that stands for each byte in a byte-level vocabulary: itself
