@@ -151,16 +151,37 @@ def completeness(
     """Distinct elements reported per unit and period, in percent of the elements
     seen anywhere in the unit's country. A row without a value counts as reported;
     a unit without any row in a period does not appear."""
-    expected = stage(
+    expected = stage(expected_elements(df, group, element), "expected-elements")
+    return score(reported_elements(df, group, unit, period, element), expected, group)
+
+
+def expected_elements(
+    df: DataFrame, group: str = "country_name", element: str = "dataElement"
+) -> DataFrame:
+    """The number of elements seen anywhere in each country."""
+    return (
         df.where(F.col(group).isNotNull())
         .groupBy(group)
-        .agg(F.count_distinct(element).alias("expected_de_count")),
-        "expected-elements",
+        .agg(F.count_distinct(element).alias("expected_de_count"))
     )
-    actual = df.groupBy(group, unit, period).agg(
+
+
+def reported_elements(
+    df: DataFrame,
+    group: str = "country_name",
+    unit: str = "orgUnit",
+    period: str = "period",
+    element: str = "dataElement",
+) -> DataFrame:
+    """The number of elements, and of rows, of each unit and period."""
+    return df.groupBy(group, unit, period).agg(
         F.count_distinct(element).alias("actual_de_count"),
         F.count(F.lit(1)).alias("row_count"),
     )
+
+
+def score(actual: DataFrame, expected: DataFrame, group: str = "country_name") -> DataFrame:
+    """Reported in percent of expected elements."""
     return actual.join(expected, group, "left").withColumn(
         "completeness_pct", percent(F.col("actual_de_count"), F.col("expected_de_count"))
     )

@@ -14,11 +14,13 @@ from ..operators.anomaly import detect_anomalies
 from ..operators.contract import FACT_CONTRACT, Contract, validate_contract
 from ..operators.drift import detect_drift, latest_snapshot, registry_snapshot, save_snapshot
 from ..operators.quality import (
-    completeness,
     duplicate_tally,
+    expected_elements,
     flag_tally_columns,
     latest_per_key,
     outlier_limits,
+    reported_elements,
+    score,
     with_late_flag,
     with_outlier_flag,
     with_value_flags,
@@ -54,6 +56,7 @@ from ..operators.series import long_series
 from ..operators.star import (
     DIMENSION_NAMES,
     FACT_NAME,
+    FACT_PARTITIONS,
     build_dimension,
     build_fact,
     check_nonempty,
@@ -72,8 +75,8 @@ from ..operators.trends import (
 )
 from ..sources.landing import Landing, load_landing, unique_memberships
 from ..sources.staging import stage
-from ..sources.tables import write_table
-from ..streaming.incremental import loaded_periods
+from ..sources.tables import partition_files, read_if_present, remove_files, write_table
+from ..streaming.incremental import changed_partitions, loaded_periods, of_other_periods
 
 OUTCOME = "outcome"
 QUARANTINED = "quarantined"
@@ -217,8 +220,11 @@ def run(
     """Run every stage and write every output under ``target``.
 
     ``mode="incremental"`` loads only periods the fact lacks, plus those named in
-    ``reprocess``, and leaves all other partitions of the fact alone. ``fmt`` is
-    the format of the reports; the fact and the completeness table are Parquet.
+    ``reprocess``. Outlier limits and expected elements are those of all periods, so
+    the scores are written anew, and of the fact's other partitions those in which a
+    flag changes. A month named in ``reprocess`` that has rows again is replaced in
+    every area. ``fmt`` is the format of the reports; the fact and the completeness
+    table are Parquet.
     ``count_duplicates`` splits the removed rows into exact copies and superseded
     values, at the cost of one more shuffle. Raises ``GateError`` when too many
     rows are quarantined or no fact row results, ``ContractViolation`` when the
@@ -227,7 +233,6 @@ def run(
     if mode not in ("full", "incremental"):
         raise ValueError(f"mode must be 'full' or 'incremental', not {mode!r}")
     started = time.monotonic()
-    replace = "touched" if mode == "incremental" else "all"
     fact_path = f"{target}/{FACT_NAME}"
 
     def publish(name: str, df: DataFrame) -> None:
@@ -303,8 +308,28 @@ def run(
 
     resolved = with_outcome(rows, RESOLVED)
     cleaned = stage(clean(resolved), "cleaned")
-    limits = stage(outlier_limits(cleaned, exact=exact_quartiles), "outlier-limits")
-    scores = stage(completeness(resolve_units(cleaned, tree)), "scores")
+    # Limits and expected elements are those of all periods, loaded ones included.
+    located = resolve_units(cleaned, tree)
+    measured = cleaned.select("dataElement", "typed_value")
+    seen_in = located.select("country_name", "dataElement")
+    actual = reported_elements(located)
+    scores_path = f"{target}/completeness_scores"
+    if loaded is not None:
+        before = of_other_periods(spark.read.parquet(fact_path), cleaned)
+        before = before.withColumnRenamed("data_element_id", "dataElement")
+        # A value of several programmes has a row for each of them.
+        values = before.select("fact_id", "dataElement", "typed_value").dropDuplicates(["fact_id"])
+        measured = measured.unionByName(values.drop("fact_id"))
+        seen_in = seen_in.unionByName(before.select("country_name", "dataElement"))
+        scored = read_if_present(spark, scores_path)
+        if scored is not None:
+            scored = scored.withColumn("period", F.col("period").cast("string"))
+            actual = actual.unionByName(
+                of_other_periods(scored, cleaned).select(*actual.columns)
+            )
+    limits = stage(outlier_limits(measured, exact=exact_quartiles), "outlier-limits")
+    expected = stage(expected_elements(seen_in), "expected-elements")
+    scores = stage(score(actual, expected), "scores")
     flagged_rows = with_outlier_flag(cleaned, limits)
     fact = stage(build_fact(describe(flagged_rows, elements, combos, tree), bridge), "fact")
 
@@ -314,9 +339,19 @@ def run(
     validate_contract(fact, contract)
     # Counted on staged rows: a task that runs twice counts once.
     flagged = flagged_rows.agg(*flag_tally_columns()).first()
-    scores_path = f"{target}/completeness_scores"
-    write_table(scores, scores_path, partition_by=["period"], replace=replace)
-    write_fact(fact, fact_path, replace=replace)
+    published, outdated = fact, []
+    if loaded is not None:
+        old = of_other_periods(spark.read.schema(fact.schema).parquet(fact_path), fact)
+        changed = stage(changed_partitions(old, limits, FACT_PARTITIONS), "changed-rows")
+        published = fact.unionByName(changed)
+        # At most as many months as were named.
+        months = fact.where(F.col("period").isin(*reprocess)) if reprocess else fact.limit(0)
+        months = [r[0] for r in months.select("year_month").distinct().collect()]
+        outdated = partition_files(spark, fact_path, [f"*/year_month={m}" for m in months])
+    write_table(scores, scores_path, partition_by=["period"])
+    write_fact(published, fact_path, replace="all" if loaded is None else "touched")
+    # What a month held in areas that it has no more rows for.
+    remove_files(spark, outdated)
 
     # A period reads back as a number unless its type is given.
     fact = spark.read.schema(fact.schema).parquet(fact_path)

@@ -19,6 +19,26 @@ def read_if_present(spark: SparkSession, path: str, fmt: str = "parquet") -> Dat
         raise
 
 
+def partition_files(spark: SparkSession, path: str, partitions: Sequence[str]) -> list[str]:
+    """The files below those folders of the table at ``path``; ``partitions`` are patterns."""
+    found: list[str] = []
+    for pattern in partitions:
+        try:
+            found += spark.read.option("basePath", path).parquet(f"{path}/{pattern}").inputFiles()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return found
+
+
+def remove_files(spark: SparkSession, files: Sequence[str]) -> None:
+    """Remove files by the file system that holds them; what is gone already stays gone."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for uri in files:
+        file = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+        file.getFileSystem(conf).delete(file, False)
+
+
 def write_table(
     df: DataFrame,
     path: str,

@@ -570,14 +570,34 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(frame, "quarantine_pct", "avg_completeness_pct")
 
 
-@query
-def run_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run over the early months, then an incremental run over all of them."""
+def loaded_in_two(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a run over the early months, then an incremental run over all of them."""
     target = new_path(spark, "run")
     whole = model.landing(spark, sf_dir)
     early = {**vars(whole), "values": whole.values.where(F.col("period") < CUTOFF)}
-    run(spark, land.Landing(**early), target)
-    run(spark, whole, target, mode="incremental")
+    run(spark, land.Landing(**early), target, exact_quartiles=True)
+    run(spark, whole, target, mode="incremental", exact_quartiles=True)
+    return target
+
+
+@query
+def run_incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of an incremental load: every column as a full load gives it."""
+    fact = spark.read.parquet(f"{loaded_in_two(spark, sf_dir)}/{star.FACT_NAME}")
+    return fact.withColumn("year_month", F.col("year_month").cast("string"))
+
+
+@query
+def run_incremental_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The completeness of an incremental load."""
+    scores = spark.read.parquet(f"{loaded_in_two(spark, sf_dir)}/completeness_scores")
+    return scores.withColumn("period", F.col("period").cast("string"))
+
+
+@query
+def run_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over the early months, then an incremental run over all of them."""
+    target = loaded_in_two(spark, sf_dir)
     return (
         spark.read.parquet(f"{target}/{star.FACT_NAME}")
         .groupBy("country_name", "quarter", "year")
