@@ -179,3 +179,43 @@ def test_one_of_each(clashing):
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 7, 8]
+
+
+def jaccard_groups(texts, similarity=0.8):
+    """The first text of each group that links of at least ``similarity`` connect."""
+    sets = []
+    for text in texts:
+        words = text.lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
+    first = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= similarity * len(a | b) and first[i] != first[j]:
+                low, high = sorted((first[i], first[j]))
+                first = [low if f == high else f for f in first]
+    return set(first)
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.95])
+def test_one_of_each_by_similarity(documents, similarity):
+    """Copies that differ in far more than three bits, chains of them, and a crowd that
+    shares half of its text without being copies."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(900)]
+    texts = []
+    for _ in range(30):
+        text = rng.choices(words, k=rng.randint(60, 400))
+        for changes in range(6):
+            copy = list(text)
+            for _ in range(changes):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            texts.append(" ".join(copy))
+            text = copy if changes == 3 else text
+    half = rng.choices(words, k=200)
+    texts += [" ".join(half + rng.choices(words, k=60)) for _ in range(40)]
+    rng.shuffle(texts)
+    kept = simhash.one_of_each(documents(texts), similarity=similarity)
+    want = jaccard_groups(texts, similarity)
+    assert {r.doc_id for r in kept.collect()} == want
+    fps = [(i, brute_fingerprint(t)) for i, t in enumerate(texts)]
+    assert similarity > 0.8 or len(want) < len(set(brute_components(fps)))
