@@ -402,7 +402,11 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of ``docs`` whose id is the least of their group, with all columns. Texts
     are linked whose sets of runs of five words have a Jaccard similarity of at least
-    ``similarity``; also those that have no words."""
+    ``similarity``; also those that have no words.
+
+    A row is known by its id and its text, so other texts of the same id, or of no id,
+    stay. A null id is greater than any other; of texts of one id that are linked the one
+    with the least digest stays. Rows that agree in id and text stay or go together."""
     rows = stage(sketches(docs, id_col, text_col), "sketches")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("first")
     classes = stage(rows.groupBy("key").agg(first, F.first("bands").alias("bands")), "set-classes")
@@ -417,6 +421,8 @@ def one_of_each(
     )
     kept = rooted.groupBy("root").agg(F.min("first").alias("kept"))
     kept = rooted.join(kept, "root").select("key", "kept")
-    others = rows.join(kept, "key").where(~F.col("id").eqNullSafe(F.col("kept.id")))
-    dropped = stage(others.select("id").distinct(), "near-copies")
-    return without(docs, dropped, {"id": docs[id_col]})
+    stays = F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("digest") == F.col("kept.digest"))
+    others = rows.join(kept, "key").where(~stays)
+    dropped = stage(others.select("id", "digest").distinct(), "near-copies")
+    digest = sha256(ascii_lower(text_of(docs, text_col)))
+    return without(docs, dropped, {"id": docs[id_col], "digest": digest})

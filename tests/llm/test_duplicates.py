@@ -219,3 +219,23 @@ def test_one_of_each_by_similarity(documents, similarity):
     assert {r.doc_id for r in kept.collect()} == want
     fps = [(i, brute_fingerprint(t)) for i, t in enumerate(texts)]
     assert similarity > 0.8 or len(want) < len(set(brute_components(fps)))
+
+
+def test_one_of_each_matches_id_and_text(clashing):
+    """Rows without an id, and one id with several texts, go only by their own text."""
+    base = " ".join(f"w{i}" for i in range(100))
+    rows = [
+        (3, base),
+        (5, base + " more"),
+        (5, "quite another text of the same id"),
+        (None, base + " without id"),
+        (None, "one text without an id"),
+        (None, "a second text that has no id"),
+        (8, "z " + base.upper()),
+        (9, "first text of nine " + base.replace("w", "v")),
+        (9, "text of nine " + base.replace("w", "v")),
+    ]
+    kept = simhash.one_of_each(clashing(rows)).collect()
+    found = sorted(((r["doc_id"], r["text"]) for r in kept), key=str)
+    nine = min(rows[7:], key=lambda r: hashlib.sha256(r[1].encode()).hexdigest())
+    assert found == sorted([rows[0], rows[2], rows[4], rows[5], nine], key=str)
