@@ -7,10 +7,11 @@ measured over the whole corpus:
 
     PMI(t; e) / IC(e),   PMI = log(co(t, e) * N / (df(t) * df(e))),   IC = log(N / df(e))
 
-with document counts df, the number co of documents that have t near e, and the number
-N of documents. The ratio is 1 when t occurs only where e does. A term that co-occurs
-in at least ``min_support`` documents is generalised to its class from a ratio of
-``generalise`` on, and removed from a ratio of ``remove`` on.
+with document counts df, the number co of documents that have both t and e, and the
+number N of documents. The ratio is 1 when t occurs only where e does. A term, of any
+length, that co-occurs in at least ``min_support`` documents is generalised to its class
+from a ratio of ``generalise`` on, and removed from a ratio of ``remove`` on, in the
+documents that have e.
 
 Everything is DataFrame code with built-in functions. Offsets come from the pieces
 between matches, so the cost is linear in the length of a text. The patterns are
@@ -41,8 +42,7 @@ KINDS = list(PATTERNS)
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
 GENERALISED, REMOVED = "generalised", "removed"
 MASKS = {kind: f"[{kind.upper()}]" for kind in KINDS}
-WORD = r"\p{L}{4,}"
-CONTEXT = 64
+WORD = r"\p{L}+"
 
 
 def digits_of(value: Column) -> Column:
@@ -90,14 +90,12 @@ def matches(text: Column, pattern: Column) -> tuple[Column, Column]:
 
 
 def kind_matches(kind: str, text: Column) -> Column:
-    """The matches of a kind with what stands around them, as an array."""
+    """The matches of a kind with the length of what stands before each, as an array."""
     found, pieces = matches(text, F.lit(PATTERNS[kind]))
     # Side by side, so that no element is looked up by its place in another array.
-    after = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces), F.lit(1)))
-    zipped = F.arrays_zip(found.alias("value"), pieces.alias("before"), after.alias("after"))
+    zipped = F.arrays_zip(found.alias("value"), pieces.alias("before"))
 
     def describe(m: Column, at: Column) -> Column:
-        left, right = F.right(m["before"], F.lit(CONTEXT)), F.left(m["after"], F.lit(CONTEXT))
         return F.struct(
             F.lit(KINDS.index(kind)).alias("kind"),
             at.alias("at"),
@@ -105,12 +103,11 @@ def kind_matches(kind: str, text: Column) -> Column:
             F.length(m["value"]).alias("length"),
             is_valid(kind, m["value"]).alias("valid"),
             entity_of(kind, m["value"]).alias("entity"),
-            F.concat_ws(" ", left, right).alias("context"),
         )
 
     described = F.transform(F.filter(zipped, lambda m: m["value"].isNotNull()), describe)
     none = F.array().cast(
-        "array<struct<kind:int,at:int,gap:int,length:int,valid:boolean,entity:string,context:string>>"
+        "array<struct<kind:int,at:int,gap:int,length:int,valid:boolean,entity:string>>"
     )
     return F.when(text.rlike(HINTS[kind]), described).otherwise(none)
 
@@ -154,17 +151,19 @@ class Disclosure:
         self.rest = searched.where(~any_valid())
         hits = searched.where(any_valid())
         self.hits = stage(hits.withColumn("key", F.monotonically_increasing_id()), "personal")
-        near = (
-            self.hits.select("key", F.explode("matches").alias("m"))
-            .where("m.valid")
-            .select("key", "m.entity", F.lower("m.context").alias("context"))
-        )
-        words = F.explode(F.array_distinct(F.regexp_extract_all("context", F.lit(WORD), F.lit(0))))
-        near_terms = near.select("key", "entity", words.alias("term")).distinct()
+        found = self.hits.select("key", F.explode("matches").alias("m")).where("m.valid")
+        found = found.select("key", "m.entity").distinct()
+        entities = found.groupBy("entity").agg(F.count(F.lit(1)).alias("df_e"))
+        # No term is in more documents with an entity than the entity itself.
+        entities = stage(entities.where(F.col("df_e") >= min_support), "entities")
+        found = stage(found.join(entities.select("entity"), "entity"), "row-entities")
+        words = F.regexp_replace("text", PATTERNS["email"], " ")
+        words = F.regexp_extract_all(F.lower(words), F.lit(WORD), F.lit(0))
+        rows = self.hits.join(found.select("key"), "key", "left_semi")
+        rows = rows.select("key", F.explode(F.array_distinct(words)).alias("term"))
+        near_terms = rows.join(found, "key").select("key", "entity", "term")
         pairs = near_terms.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("co"))
-        pairs = stage(pairs.where(F.col("co") >= min_support), "near-terms")
-        entities = near.select("key", "entity").distinct()
-        entities = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("df_e"))
+        pairs = stage(pairs.where(F.col("co") >= min_support), "entity-terms")
         terms = corpus_counts(docs, text_col)
         n = F.lit(float(docs.count()))
         measured = pairs.join(entities, "entity").join(terms, "term")

@@ -204,3 +204,15 @@ def test_digest_of_spans(documents):
     assert hashlib.sha256(row.base.encode()).hexdigest() == hashlib.sha256(
         b"email:0:6,card:7:26"
     ).hexdigest()
+
+
+def test_terms_far_away_and_short(documents):
+    """A short name at the top discloses an address that comes much later."""
+    filler = "water stone light river cloud " * 20
+    texts = [f"Zoe {filler}" + ("me@home.example" if i % 10 == 0 else "") for i in range(100)]
+    texts = [t if i % 10 == 0 else t.replace("Zoe", "Who") for i, t in enumerate(texts)]
+    found = {r.doc_id: r.spans for r in pii.personal_spans(documents(texts)).collect()}
+    assert found[0] == f"email:{len(texts[0]) - 15}:{len(texts[0])},removed:0:3"
+    assert found[1] == ""
+    cleaned = {r.doc_id: r.text for r in pii.sanitise(documents(texts)).collect()}
+    assert cleaned[0] == f" {filler}[EMAIL]" and cleaned[1] == texts[1]
