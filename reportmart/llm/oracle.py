@@ -95,9 +95,42 @@ WITH usable AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+OP11 = """
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS body FROM documents),
+windows AS (
+    SELECT doc_id, pos, substr(body, 2 * pos + 1, 100) AS said
+    FROM bytes, unnest(range(0, greatest(0, len(body) // 2 - 49))) AS t(pos)
+), first AS (SELECT said, min(doc_id) AS first FROM windows GROUP BY said),
+gone AS (SELECT doc_id, pos FROM windows JOIN first USING (said) WHERE doc_id > first),
+starts AS (
+    SELECT doc_id, pos,
+        coalesce(pos > lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 50, true)::INT AS opens
+    FROM gone
+), numbered AS (
+    SELECT doc_id, pos, sum(opens) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM starts
+), spans AS (
+    SELECT doc_id, span, min(pos) AS start, max(pos) + 50 AS stop FROM numbered GROUP BY ALL
+), kept AS (
+    SELECT doc_id, body, start, stop,
+        coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS since,
+        row_number() OVER (PARTITION BY doc_id ORDER BY start DESC) = 1 AS last
+    FROM bytes LEFT JOIN spans USING (doc_id)
+), parts AS (
+    SELECT doc_id, len(any_value(body)) // 2 AS n_bytes, coalesce(sum(stop - start), 0) AS n_removed,
+        count(start) AS n_spans,
+        string_agg(substr(body, 2 * since + 1, 2 * (coalesce(start, len(body) // 2) - since))
+            || CASE WHEN last AND stop IS NOT NULL THEN substr(body, 2 * stop + 1) ELSE '' END,
+            '' ORDER BY start) AS body
+    FROM kept GROUP BY doc_id
+)
+SELECT doc_id, n_bytes, n_removed::BIGINT AS n_removed, n_spans, sha256(unhex(body)) AS kept_sha256
+FROM parts
+"""
+
 ORACLE = {
     "op1_chat": OP1,
     "op3_licenses": licenses_sql(),
     "op7_exact_dedup": OP7,
     "op9_vector_search": OP9,
+    "op11_suffixes": OP11,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, exact_dedup, licenses, packing, pieces, pii, simhash, token_counts
+from . import chat, exact_dedup, licenses, packing, pieces, pii, simhash, suffixes, token_counts
 from . import toxicity, vector_search
 from .common import read
 
@@ -81,6 +81,11 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "chunk", "n_chunks", "n_tokens", "ids_crc32", *digests)
 
 
+def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of each document without the strings that smaller documents have."""
+    return suffixes.drop_repeats(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,5 +99,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii,
         op9_vector_search,
         op10_pieces,
+        op11_suffixes,
     )
 }
