@@ -51,6 +51,7 @@ HOT = 10_000
 #: Bytes of text for each shard of hashes and of suffixes.
 HASH_SHARD, SUFFIX_SHARD = 64 << 20, 16 << 20
 POSITION = 23
+BLOCK = 1 << 14
 LAST = np.iinfo(np.int64).max
 CODES = np.random.default_rng(50).integers(0, 1 << 64, 256, np.uint64)
 FACTOR = 0x9E3779B97F4A7C15
@@ -90,15 +91,11 @@ class Anchors(NamedTuple):
     around: np.ndarray
 
 
-def anchors(body: np.ndarray, sizes: np.ndarray, owned: np.ndarray) -> Anchors:
-    """The anchors of documents that lie side by side in ``body``. Windows start at the
-    first ``owned`` bytes of each document and end within it."""
-    none = np.empty(0, np.int64)
-    if len(body) < LENGTH:
-        return Anchors(none, none, none, np.empty(0, np.uint64), np.empty(0, np.uint64))
+def hashes_of(body: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each run of ``GRAM`` bytes, and of each window the place of its least one."""
     factors = [FACTOR]
     sums = [CODES[body]]
-    while 1 << len(sums) <= GRAM:
+    while 2 << (len(sums) - 1) <= GRAM:
         half, h = 1 << (len(sums) - 1), sums[-1]
         sums.append(h[:-half] * np.uint64(factors[-1]) + h[half:])
         factors.append(factors[-1] ** 2 % (1 << 64))
@@ -109,7 +106,6 @@ def anchors(body: np.ndarray, sizes: np.ndarray, owned: np.ndarray) -> Anchors:
             tail = sums[k][width : width + n]
             runs = tail if runs is None else runs[:n] * np.uint64(factors[k]) + tail
             width += 1 << k
-    del sums
     position = np.uint64((1 << POSITION) - 1)
     least = mixed(runs, 0xBF58476D1CE4E5B9) & ~position | np.arange(len(runs), dtype=np.uint64)
     width = 1
@@ -117,17 +113,28 @@ def anchors(body: np.ndarray, sizes: np.ndarray, owned: np.ndarray) -> Anchors:
         step = min(width, REACH + 1 - width)
         least = np.minimum(least[:-step], least[step:])
         width += step
-    stops = np.cumsum(sizes)
+    return runs, (least & position).astype(np.int32)
+
+
+def anchors(body: np.ndarray, sizes: np.ndarray, owned: np.ndarray) -> Anchors:
+    """The anchors of documents that lie side by side in ``body``. Windows start at the
+    first ``owned`` bytes of each document and end within it."""
     n_windows = np.maximum(0, np.minimum(owned, sizes - LENGTH + 1))
-    windows = np.arange(n_windows.sum()) + np.repeat(
-        stops - sizes - (np.cumsum(n_windows) - n_windows), n_windows
-    )
-    of_window = (least[windows] & position).astype(np.int64)
-    if not len(windows):
-        return Anchors(none, none, none, np.empty(0, np.uint64), np.empty(0, np.uint64))
+    if not n_windows.sum():
+        none, no_hash = np.empty(0, np.int64), np.empty(0, np.uint64)
+        return Anchors(none, none, none, no_hash, no_hash)
+    runs = np.empty(len(body) - GRAM + 1, np.uint64)
+    least = np.empty(len(body) - LENGTH + 1, np.int32)
+    for at in range(0, len(least), BLOCK):  # as much as the cache of a core holds
+        here, place = hashes_of(body[at : at + BLOCK + LENGTH - 1])
+        runs[at : at + len(here)] = here
+        least[at : at + len(place)] = place + at
+    starts = np.cumsum(sizes) - sizes - (np.cumsum(n_windows) - n_windows)
+    windows = np.arange(n_windows.sum()) + np.repeat(starts, n_windows)
+    of_window = least[windows]
     starts = np.flatnonzero(np.concatenate([[True], of_window[1:] != of_window[:-1]]))
     ends = np.concatenate([starts[1:], [len(windows)]]) - 1
-    at = of_window[starts]
+    at = of_window[starts].astype(np.int64)
     before, after = np.maximum(at - REACH, 0), np.minimum(at + REACH, len(runs) - 1)
     around = runs[before] * np.uint64(FACTOR) ^ runs[after]
     return Anchors(at, windows[starts], windows[ends], mixed(runs[at], 0x94D049BB133111EB), around)
@@ -203,16 +210,18 @@ def batch_of(names: list[str], kinds: list[pa.DataType], rows: list[tuple]) -> p
 def hash_sets(found: Anchors, owner: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct hashes, sorted, and of each the number of its surroundings, at least
     two if several documents have it."""
-    hashes = found.hash >> np.uint64(64 - bits)
-    order = np.lexsort((found.around, hashes))
-    hashes, around, owner = hashes[order], found.around[order], owner[order]
-    new = np.ones(len(hashes), bool)
+    low = np.uint64(64 - bits)
+    rank = found.hash >> low << low | found.around >> np.uint64(bits)
+    order = np.argsort(rank)
+    rank, owner = rank[order], owner[order]
+    other = np.ones(len(rank), bool)
+    other[1:] = rank[1:] != rank[:-1]
+    hashes = rank >> low
+    new = other.copy()
     new[1:] = hashes[1:] != hashes[:-1]
     starts = np.flatnonzero(new)
     if not len(starts):
         return hashes, np.empty(0, np.uint16)
-    other = new.copy()
-    other[1:] |= around[1:] != around[:-1]
     weights = np.add.reduceat(other.astype(np.int64), starts)
     several = np.minimum.reduceat(owner, starts) < np.maximum.reduceat(owner, starts)
     weights = np.minimum(np.maximum(weights, 1 + several), 65535)
@@ -388,10 +397,11 @@ def send_runs(bits: int, shards: int):
             sizes, owned, body = np.array(sizes), np.array(owned), bytes_of(body)
             found = anchors(body, sizes, owned)
             owner = np.searchsorted(np.cumsum(sizes), found.at, "right")
-            hashes, _ = hash_sets(found, owner, bits)
+            of_anchor = found.hash >> np.uint64(64 - bits)
+            _, of_anchor = np.unique(of_anchor, return_inverse=True)
             parts = sorted((a["shard"], a["flags"]) for a in answers or [])
             flags = np.concatenate([np.empty(0, np.uint8)] + [unpacked(f, np.uint8)[0] for _, f in parts])
-            flags = flags[np.searchsorted(hashes, found.hash >> np.uint64(64 - bits))]
+            flags = flags[of_anchor]
             docs = np.array([LAST if i is None else i for i in ids], np.int64)[owner]
             sent, gone = combined(suffixes_of(body, found, docs, flags, shards))
             rows = []
@@ -655,8 +665,8 @@ def drop_repeats(
     chunks = chunk_table(docs, id_col, text_col, chunk)
     length = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)
     total = chunks.agg(F.sum(length)).first()[0] or 0
-    # Two hashes of different runs meet for one run in about a hundred, at any size.
-    bits = min(62, max(16, math.ceil(math.log2(total + 1)) + 4))
+    # Two hashes of different runs meet for one run in about a hundred.
+    bits = min(48, max(16, math.ceil(math.log2(total + 1)) + 4))
     shard_bits = max(0, math.ceil(math.log2(max(1, total / HASH_SHARD))))
     shards = max(1, total // SUFFIX_SHARD)
 
