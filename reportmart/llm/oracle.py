@@ -127,10 +127,86 @@ SELECT doc_id, n_bytes, n_removed::BIGINT AS n_removed, n_spans, sha256(unhex(bo
 FROM parts
 """
 
+OP13 = r"""
+WITH RECURSIVE codes AS (
+    SELECT list(code ORDER BY n) AS codes FROM (
+        SELECT n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS code
+        FROM range(256) AS t(n))
+), given AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor(list_reduce([4294967295] || list_transform(
+                string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                lambda c: ord(c)::BIGINT),
+            lambda a, b: xor(codes[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % 20 AS fault
+    FROM conversations, codes
+), damaged AS (
+    SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))
+    FROM given
+), placed AS (
+    SELECT conv_id, turn, role, text, role[1] AS initial,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+    FROM damaged
+), faulty AS (
+    SELECT *, CASE
+        WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+        initial || lead(initial) OVER (PARTITION BY conv_id ORDER BY place) AS pair
+    FROM placed
+), insertions(state, next, cost, audit, said) AS (
+    VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+        (0, 2, 5, 'I', chr(10) || 'user:'), (1, 2, 5, 'I', chr(10) || 'user:'),
+        (3, 2, 5, 'I', chr(10) || 'user:'), (2, 3, 5, 'I', chr(10) || 'assistant:'),
+        (0, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+        (1, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')
+), edits(letter, state, next, initial, cost, role) AS (
+    VALUES ('K', 0, 1, 's', 0, NULL), ('K', 0, 2, 'u', 0, NULL), ('K', 1, 2, 'u', 0, NULL),
+        ('K', 3, 2, 'u', 0, NULL), ('K', 2, 3, 'a', 0, NULL), ('R', 0, 2, NULL, 1, 'user'),
+        ('R', 1, 2, NULL, 1, 'user'), ('R', 3, 2, NULL, 1, 'user'), ('R', 2, 3, NULL, 1, 'assistant'),
+        ('D', 0, 0, NULL, 2, NULL), ('D', 1, 1, NULL, 2, NULL), ('D', 2, 2, NULL, 2, NULL), ('D', 3, 3, NULL, 2, NULL)
+), reached AS (
+    SELECT conv_id, 0::BIGINT AS place, 0 AS state, {'cost': 0::BIGINT, 'audit': '', 'said': ''} AS best
+    FROM damaged GROUP BY conv_id
+    UNION ALL
+    SELECT r.conv_id, p.place, e.next, min({
+        'cost': r.best.cost + i.cost + e.cost + CASE WHEN letter <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END,
+        'audit': r.best.audit || i.audit || letter,
+        'said': r.best.said || i.said
+            || CASE letter WHEN 'D' THEN '' ELSE chr(10) || coalesce(e.role, p.role) || ':' || text END})
+    FROM reached r
+    JOIN insertions i ON i.state = r.state
+    JOIN faulty p ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND p.place = r.place + 1
+    JOIN edits e ON e.state = i.next AND (letter = 'D'
+        OR fault NOT IN ('blank', 'duplicate') AND (letter = 'R' OR e.initial = p.initial))
+    GROUP BY r.conv_id, p.place, e.next
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+    FROM faulty GROUP BY conv_id
+), goals AS (
+    SELECT r.conv_id, min({'cost': r.best.cost + i.cost, 'audit': r.best.audit || i.audit, 'said': r.best.said || i.said}) AS best
+    FROM reached r JOIN insertions i ON i.state = r.state
+    JOIN counted c ON c.conv_id IS NOT DISTINCT FROM r.conv_id AND c.n = r.place
+    WHERE i.next IN (0, 3) GROUP BY r.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+    coalesce(best.audit, '') AS audit, sha256(coalesce(substr(best.said, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN goals g ON g.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLE = {
     "op1_chat": OP1,
     "op3_licenses": licenses_sql(),
     "op7_exact_dedup": OP7,
     "op9_vector_search": OP9,
     "op11_suffixes": OP11,
+    "op13_repair": OP13,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, exact_dedup, licenses, packing, pieces, pii, simhash, suffixes, token_counts
-from . import toxicity, vector_search
+from . import chat, exact_dedup, licenses, packing, pieces, pii, repair, simhash, suffixes
+from . import token_counts, toxicity, vector_search, whitening
 from .common import read
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -86,6 +86,45 @@ def op11_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.drop_repeats(read(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the four leading components of the distinct ones."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults by a hash of conversation and turn: a turn is dropped,
+    emptied, robbed of its full stops, repeated, or made the user's. Nulls are one space."""
+    space = F.lit(" ")
+    key = [F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat_ws(":", *key)) % 20
+    role = F.coalesce(F.col("role"), space)
+    text = F.coalesce(F.col("text"), space)
+    rows = turns.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("times"),
+    )
+    return rows.select("*", F.explode(F.array_repeat(F.lit(0), F.col("times")))).drop("times", "col")
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations repaired; those without a turn left have zeros."""
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.repair(damaged(given)).withColumnRenamed("conv_id", "found")
+    every = given.select("conv_id").distinct()
+    every = every.join(found, every["conv_id"].eqNullSafe(found["found"]), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in repair.COUNTS]
+    nothing = F.sha2(F.lit(""), 256)
+    return every.select(
+        "conv_id",
+        *counts,
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,5 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_vector_search,
         op10_pieces,
         op11_suffixes,
+        op12_whitening,
+        op13_repair,
     )
 }
