@@ -28,12 +28,15 @@ def ascii_lower(text: Column) -> Column:
 def without(df: DataFrame, dropped: DataFrame, on: dict[str, Column]) -> DataFrame:
     """Rows of ``df`` that match no row of ``dropped``. ``on`` maps the columns of
     ``dropped`` to expressions over ``df``; nulls match each other. The columns of
-    ``df`` stay as they are, whatever their names."""
+    ``df`` stay as they are, whatever their names.
+
+    What is dropped grows with the table, so both sides are dealt by key at every size;
+    the rows of ``df``, which hold texts, are not sorted for it."""
     hidden = dropped.select([F.col(name).alias(f"__dropped_{name}") for name in on])
     condition = F.lit(True)
     for name, value in on.items():
         condition = condition & value.eqNullSafe(hidden[f"__dropped_{name}"])
-    return df.join(hidden, condition, "left_anti")
+    return df.join(hidden.hint("shuffle_hash"), condition, "left_anti")
 
 
 def by_row(

@@ -95,8 +95,22 @@ def exact_groups(
 
 
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    dropped = exact_groups(docs, id_col=id_col, text_col=text_col).where("not kept")
-    dropped = stage(dropped.select(F.col(id_col).alias("id"), "digest"), "dropped-copies")
+    """The rows of ``docs`` that stay, with all their columns.
+
+    Of rows that agree in id and text, a null id included, one stays: the least as JSON of
+    all columns. Null and empty texts are equal. An empty table stays empty."""
+    found = stage(exact_groups(docs, id_col=id_col, text_col=text_col), "groups")
+    found = found.select(F.col(id_col).alias("id"), "digest", "kept")
+    dropped = stage(found.where("not kept").select("id", "digest"), "dropped-copies")
+    again = found.where("kept").groupBy("id", "digest").count().where("count > 1")
+    again = stage(again.select("id", "digest"), "repeated-rows")
     digest = sha256(ascii_lower(text_of(docs, text_col)))
-    return without(docs, dropped, {"id": docs[id_col], "digest": digest})
+    on = {"id": docs[id_col], "digest": digest}
+    if again.isEmpty():
+        return without(docs, dropped, on)
+    row = F.struct(*[docs[c] for c in docs.columns])
+    rows = docs.select(row.alias("row"), on["id"].alias("id"), digest.alias("digest"))
+    same = rows["id"].eqNullSafe(again["id"]) & (rows["digest"] == again["digest"])
+    rows = rows.join(again, same, "left_semi").groupBy("id", "digest")
+    one = rows.agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")
+    return without(docs, dropped.union(again), on).union(one)

@@ -8,10 +8,17 @@ measured over the whole corpus:
     PMI(t; e) / IC(e),   PMI = log(co(t, e) * N / (df(t) * df(e))),   IC = log(N / df(e))
 
 with document counts df, the number co of documents that have both t and e, and the
-number N of documents. The ratio is 1 when t occurs only where e does. A term, of any
-length, that co-occurs in at least ``min_support`` documents is generalised to its class
-from a ratio of ``generalise`` on, and removed from a ratio of ``remove`` on, in the
-documents that have e.
+number N of documents. The ratio is 1 when t occurs only where e does. From a ratio of
+``generalise`` on a term is generalised to its class, from ``remove`` on it is removed, in
+the documents that have e.
+
+A ratio says nothing where little was seen, so the co-occurrence must be more than
+chance. Its evidence x is the number of documents or of different contexts (the two words
+on either side), whichever is less: copies of a page, or of a phrase, are one context. With
+L = df(t) * df(e) / N expected by chance, x or more have a probability of at most
+(e * L / x)^x (Chernoff), which times the number of pairs tested may be no more than
+``chance``. Pairs are tested for entities in two documents or more: a single one says no
+more of one of its words than of another.
 
 Everything is DataFrame code with built-in functions. Offsets come from the pieces
 between matches, so the cost is linear in the length of a text. The patterns are
@@ -43,6 +50,7 @@ HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9
 GENERALISED, REMOVED = "generalised", "removed"
 MASKS = {kind: f"[{kind.upper()}]" for kind in KINDS}
 WORD = r"\p{L}+"
+PIECE = 256
 
 
 def digits_of(value: Column) -> Column:
@@ -143,7 +151,7 @@ class Disclosure:
         docs: DataFrame,
         *,
         text_col: str = "text",
-        min_support: int = 5,
+        chance: float = 0.05,
         generalise: float = 0.75,
         remove: float = 0.95,
     ) -> None:
@@ -154,19 +162,23 @@ class Disclosure:
         found = self.hits.select("key", F.explode("matches").alias("m")).where("m.valid")
         found = found.select("key", "m.entity").distinct()
         entities = found.groupBy("entity").agg(F.count(F.lit(1)).alias("df_e"))
-        # No term is in more documents with an entity than the entity itself.
-        entities = stage(entities.where(F.col("df_e") >= min_support), "entities")
+        entities = stage(entities.where("df_e > 1"), "entities")
         found = stage(found.join(entities.select("entity"), "entity"), "row-entities")
-        words = F.regexp_replace("text", PATTERNS["email"], " ")
-        words = F.regexp_extract_all(F.lower(words), F.lit(WORD), F.lit(0))
         rows = self.hits.join(found.select("key"), "key", "left_semi")
-        rows = rows.select("key", F.explode(F.array_distinct(words)).alias("term"))
-        near_terms = rows.join(found, "key").select("key", "entity", "term")
+        near = stage(terms_in_context(rows.select("key", "text")), "terms-in-context")
+        near = near.join(found, "key")
+        contexts = near.select("entity", "term", "context").distinct().groupBy("entity", "term")
+        contexts = contexts.agg(F.count(F.lit(1)).alias("contexts"))
+        near_terms = near.select("key", "entity", "term").distinct()
         pairs = near_terms.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("co"))
-        pairs = stage(pairs.where(F.col("co") >= min_support), "entity-terms")
+        pairs = stage(pairs.join(contexts, ["entity", "term"]), "entity-terms")
         terms = corpus_counts(docs, text_col)
-        n = F.lit(float(docs.count()))
+        n, tests = F.lit(float(docs.count())), F.lit(float(max(1, pairs.count())))
         measured = pairs.join(entities, "entity").join(terms, "term")
+        seen = F.least("co", "contexts")
+        expected = F.col("df_t") * F.col("df_e") / n
+        surprise = seen * (1 + F.log(expected / seen)) + F.log(tests)
+        measured = measured.where((seen > expected) & (surprise <= F.log(F.lit(chance))))
         mutual = F.log(F.col("co") * n / (F.col("df_t") * F.col("df_e")))
         own = F.log(n / F.col("df_e"))
         measured = measured.withColumn("ratio", F.when(own > 0, mutual / own).otherwise(F.lit(0.0)))
@@ -187,6 +199,44 @@ class Disclosure:
             ),
             "row-terms",
         )
+        base = self.hits.select("key", F.explode("matches").alias("m")).select("key", "m.*")
+        self.base = stage(
+            spans_of(base).where("valid").select("key", "kind", "start", "end"), "base-spans"
+        )
+
+    def term_spans(self) -> DataFrame:
+        """``key``, ``kind``, ``start`` and ``end`` of telling terms outside base spans."""
+        clear = self.base.select("key", F.col("start").alias("from"), F.col("end").alias("to"))
+        parts = []
+        for kind, column in enumerate((GENERALISED, REMOVED), len(KINDS)):
+            telling = self.terms.where(F.size(column) > 0).select("key", column)
+            rows = self.hits.select("key", "text").join(telling, "key")
+            rows = rows.select("key", "text", term_pattern(F.col(column)).alias("pattern"))
+            found = F.posexplode(term_matches(F.col("text"), F.col("pattern"))).alias("at", "m")
+            rows = rows.select("key", found).select("key", F.lit(kind).alias("kind"), "at", "m.*")
+            parts.append(spans_of(rows).select("key", "kind", "start", "end"))
+        spans = parts[0].union(parts[1])
+        inside = (F.col("start") < F.col("to")) & (F.col("from") < F.col("end"))
+        met = (spans["key"] == clear["key"]) & inside
+        return spans.join(clear, met, "left_anti")
+
+
+def terms_in_context(rows: DataFrame) -> DataFrame:
+    """Each ``term`` of the rows ``key``, ``text`` with its ``context``: a hash of the two
+    words before it and the two after it. E-mail addresses hold no terms."""
+    plain = F.regexp_replace("text", PATTERNS["email"], " ")
+    rows = rows.select("key", F.regexp_extract_all(F.lower(plain), F.lit(WORD), F.lit(0)).alias("w"))
+    words, none = F.col("w"), F.lit("")
+    zipped = F.arrays_zip(
+        words.alias("term"),
+        F.concat(F.array(none, none), words).alias("a"),
+        F.concat(F.array(none), words).alias("b"),
+        F.slice(words, 2, F.greatest(F.size(words), F.lit(1))).alias("c"),
+        F.slice(words, 3, F.greatest(F.size(words), F.lit(1))).alias("d"),
+    )
+    found = rows.select("key", F.explode(zipped).alias("z")).where("z.term is not null")
+    around = F.xxhash64("z.a", "z.b", F.coalesce("z.c", none), F.coalesce("z.d", none))
+    return found.select("key", "z.term", around.alias("context"))
 
 
 def corpus_counts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -228,18 +278,7 @@ def personal_spans(
     docs = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
     found = Disclosure(docs, text_col="text", **thresholds)
     names = F.array(*[F.lit(k) for k in (*KINDS, GENERALISED, REMOVED)])
-    base = found.hits.select("key", F.explode("matches").alias("m")).select("key", "m.*")
-    base = spans_of(base).where("valid").select("key", "kind", "start", "end")
-    parts = [base]
-    for kind, column in enumerate((GENERALISED, REMOVED), len(KINDS)):
-        telling = found.terms.where(F.size(column) > 0).select("key", column)
-        rows = found.hits.select("key", "text").join(telling, "key")
-        rows = rows.select("key", "text", term_pattern(F.col(column)).alias("pattern"))
-        found_terms = F.posexplode(term_matches(F.col("text"), F.col("pattern"))).alias("at", "m")
-        rows = rows.select("key", found_terms)
-        rows = rows.select("key", F.lit(kind).alias("kind"), "at", "m.*")
-        parts.append(spans_of(rows).select("key", "kind", "start", "end"))
-    spans = parts[0].union(parts[1]).union(parts[2])
+    spans = found.base.union(found.term_spans())
 
     def written(some: Column) -> Column:
         def one(s: Column) -> Column:
@@ -279,18 +318,68 @@ def mask_kind(kind: str, text: Column) -> Column:
     return F.when(text.rlike(HINTS[kind]), masked).otherwise(text)
 
 
+def merged(spans: DataFrame) -> DataFrame:
+    """``key``, ``start``, ``end`` and ``mask`` of base spans; those that overlap, of
+    whatever kinds, are one span with the names of all of them."""
+    order = W.partitionBy("key").orderBy("start", "end", "kind")
+    before = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    opens = F.when(F.col("start") < before, 0).otherwise(1)
+    runs = spans.withColumn("opens", opens).withColumn("run", F.sum("opens").over(order))
+    first = F.struct("start", "kind")
+    runs = runs.groupBy("key", "run", "kind").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min(first).alias("first")
+    )
+    masks = F.array(*[F.lit(MASKS[k]) for k in KINDS])
+    named = F.transform(F.array_sort(F.collect_list("first")), lambda f: F.get(masks, f["kind"]))
+    return runs.groupBy("key", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.array_join(named, "").alias("mask")
+    )
+
+
+def without_spans(text: Column, blocks: Column, cuts: Column) -> Column:
+    """``text`` with other words in place of the cuts, which are sorted and do not overlap:
+    structs of ``since`` (the end of the cut before), ``start`` and ``mask``; the last one
+    stands for the end. ``blocks`` is the text in pieces of ``PIECE`` characters, so what is
+    between two cuts is found without reading from the start."""
+
+    def kept(cut: Column) -> Column:
+        first = F.floor(cut["since"] / PIECE).cast("int")
+        count = F.floor(cut["start"] / PIECE).cast("int") - first + 1
+        near = F.array_join(F.slice(blocks, first + 1, count), "")
+        at = (cut["since"] % PIECE + 1).cast("int")
+        between = F.substring(near, at, (cut["start"] - cut["since"]).cast("int"))
+        return F.concat(between, cut["mask"])
+
+    return F.array_join(F.transform(cuts, kept), "")
+
+
 def sanitise(docs: DataFrame, *, text_col: str = "text", **thresholds: float) -> DataFrame:
     """``docs`` with personal data replaced by its kind, telling terms generalised to
-    ``[TERM]`` or removed. All rows and columns stay; other rows are unchanged."""
+    ``[TERM]`` or removed. All rows and columns stay; other rows are unchanged.
+
+    All spans are those of the given text and are cut out at once, so one that overlaps
+    another goes whole. A null text stays null; empty texts, texts of any length, rows that
+    repeat and columns of any name are dealt with alike. An empty table stays empty."""
     columns = docs.columns
     found = Disclosure(docs, text_col=text_col, **thresholds)
-    # The name of a kind cannot match the pattern of another.
-    hits = found.hits.join(found.terms, "key", "left")
+    terms = found.term_spans().select(
+        "key", "start", "end", F.when(F.col("kind") == len(KINDS), "[TERM]").otherwise("").alias("mask")
+    )
+    spans = merged(found.base).drop("run").unionByName(terms)
+    order = W.partitionBy("key").orderBy("start")
+    since = F.coalesce(F.lag("end").over(order), F.lit(0)).alias("since")
+    cuts = spans.select("key", since, "start", "end", "mask").groupBy("key").agg(
+        F.array_sort(F.collect_list(F.struct("since", "start", "mask"))).alias("cuts"),
+        F.max("end").alias("stop"),
+    )
+    hits = found.hits.join(cuts, "key")
+    end = F.struct(F.col("stop").alias("since"), F.length("text").cast("long").alias("start"), F.lit("").alias("mask"))
+    blocks = F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))
+    hits = hits.withColumn("blocks", blocks).withColumn("cuts", F.concat("cuts", F.array(end)))
+    hits = hits.withColumn("text", without_spans(F.col("text"), F.col("blocks"), F.col("cuts")))
+    # What a dropped match hid may be one now: digits beside an address that is gone.
     for kind in KINDS:
         hits = hits.withColumn("text", mask_kind(kind, F.col("text")))
-    for column, mask in ((GENERALISED, "[TERM]"), (REMOVED, "")):
-        replaced = F.regexp_replace("text", term_pattern(F.col(column)), F.lit(mask))
-        hits = hits.withColumn("text", F.when(F.size(column) > 0, replaced).otherwise(F.col("text")))
     cleaned = hits.select(
         *[F.col("text" if c == text_col else "row." + f"`{c}`").alias(c) for c in columns]
     )

@@ -17,17 +17,11 @@ Only keys that several fingerprints have go on. The fingerprints of a key are de
 into blocks of about ``BLOCK``, and each pair of blocks is one row, so a key with very
 many fingerprints is spread over many tasks. Candidates are verified by counting
 differing bits; of the links in a pair of blocks only a spanning forest is returned.
-
-``one_of_each`` asks for more than few differing bits tell: texts whose sets of runs of
-five words have a Jaccard similarity of 0.8 or more. Their fingerprints differ in ten
-bits or so, too many for keys of any code. There candidates share one of ``BANDS`` keys,
-each made of ``BAND_ROWS`` minima of hashes, and each link is checked on the whole sets.
-A pair at exactly 0.8 shares no key with a probability of (1 - 0.8^6)^32 = 0.00006.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -48,11 +42,6 @@ PAIRS = ((0, 1), (0, 2), (1, 2))
 #: Fixed value: a generator polynomial of the binary Golay code of length 23.
 GENERATOR = 0b101011100011
 PART = 1 << 20
-WORDS = 5
-SIMILARITY = 0.8
-BANDS, BAND_ROWS = 32, 6
-#: Odd numbers, so that each product is a permutation of the hashes.
-FACTORS = np.random.default_rng(SEED).integers(0, 1 << 64, BANDS * BAND_ROWS, np.uint64) | np.uint64(1)
 
 
 def word_parts(data: bytes, width: int = 3) -> Iterator[list[bytes]]:
@@ -262,6 +251,13 @@ def links(distinct: DataFrame, *, bits: int = MAX_BITS, block: int = BLOCK) -> D
     return pairs.select("left", "right").mapInArrow(links_of_blocks(bits), "a long, b long")
 
 
+def with_roots(classes: DataFrame, bits: int, block: int) -> DataFrame:
+    """``classes`` of distinct fingerprints with the ``root`` of their component."""
+    roots = components(links(classes, bits=bits, block=block))
+    rooted = classes.join(roots, classes["fp"] == roots["node"], "left")
+    return rooted.select(*classes.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -279,150 +275,45 @@ def near_duplicates(
     found = stage(fingerprints(docs, id_col=id_col, text_col=text_col), "fingerprints")
     found = found.withColumnRenamed(id_col, "id")
     classes = found.groupBy("fp").agg(F.min("id").alias("least"))
-    classes = stage(classes, "fingerprint-classes")
-    roots = components(links(classes, bits=bits, block=block))
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = with_roots(stage(classes, "fingerprint-classes"), bits, block)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return found.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def shingles(text: str, width: int = WORDS) -> np.ndarray:
-    """The XXH64 hashes of all runs of ``width`` words, in order, each once. A text of
-    fewer words has one run of all of them, a text without words none."""
-    data = text.encode("utf-8").lower()
-    found = [np.empty(0, np.uint64)]
-    words: list[bytes] = []
-    for words in word_parts(data, width):
-        runs = zip(*(words[at:] for at in range(width)))
-        hashes = [xxhash.xxh64_intdigest(b" ".join(run), SEED) for run in runs]
-        found.append(np.array(hashes, np.uint64))
-    if words and not any(map(len, found)):
-        found.append(np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64))
-    return np.unique(np.concatenate(found))
-
-
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """A key of each band; an empty set has none."""
-    if not len(hashes):
-        return []
-    least = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 1024):
-        np.minimum(least, (FACTORS[:, None] * hashes[at : at + 1024]).min(axis=1), out=least)
-    bands = enumerate(least.reshape(BANDS, BAND_ROWS))
-    keys = [xxhash.xxh64_intdigest(values.tobytes(), number) for number, values in bands]
-    return [key - (key >> 63 << 64) for key in keys]
-
-
-def set_key(hashes: np.ndarray) -> str:
-    return xxhash.xxh128_hexdigest(hashes.tobytes())
-
-
-def similar(similarity: float) -> Callable[..., Iterator[tuple]]:
-    def of_row(a: str, b: str, set_a: bytes, set_b: bytes) -> Iterator[tuple]:
-        x, y = np.frombuffer(set_a, np.uint64), np.frombuffer(set_b, np.uint64)
-        if min(len(x), len(y)) >= similarity * max(len(x), len(y)):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if both >= similarity * (len(x) + len(y) - both):
-                yield a, b
-
-    return of_row
-
-
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``a``, ``b`` of keys whose sets are similar."""
-    for side in "ab":
-        named = sets.select(F.col("key").alias(side), F.col("set").alias(f"set_{side}"))
-        pairs = pairs.join(named, side)
-    schema = pa.schema([("a", pa.string()), ("b", pa.string())])
-    rows = pairs.select("a", "b", "set_a", "set_b")
-    return rows.mapInArrow(by_row(similar(similarity), schema), "a string, b string")
-
-
-def similar_sets(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """``node`` and ``root`` of the sets that are linked. ``members`` has the ``key`` of
-    each set in each ``band``, with the least key of the band as ``least``.
-
-    All sets of a band are first compared with its least one; then those that are not
-    connected by that with each other. So a large group of copies is not paired off."""
-    star = members.where("key <> least").select(F.col("least").alias("a"), F.col("key").alias("b"))
-    links = stage(verified(stage(star.distinct(), "stars-of-bands"), sets, similarity), "near-links")
-    roots = components(links)
-    rooted = members.where("key <> least").join(roots, members["key"] == roots["node"], "left")
-    rooted = rooted.select("band", "key", F.coalesce("root", "key").alias("root"))
-    apart = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    rooted = stage(rooted.join(apart.where("low < high").select("band"), "band"), "bands-apart")
-    others = rooted.select("band", F.col("key").alias("b"), F.col("root").alias("root_b"))
-    pairs = rooted.join(others, "band").where("root < root_b")
-    pairs = pairs.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b"))
-    more = verified(stage(pairs.distinct(), "pairs-apart"), sets, similarity)
-    return components(links.unionByName(more))
-
-
-def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id``, ``digest``, the ``key`` of the set of shingles and its ``bands``, of each row."""
-    text = text_of(docs, text_col)
-    rows = docs.select(docs[id_col].cast("string"), sha256(ascii_lower(text)), text)
-
-    def of_row(row_id: str | None, digest: str, text: str) -> list[tuple]:
-        hashes = shingles(text)
-        return [(row_id, digest, set_key(hashes), band_keys(hashes))]
-
-    names = {"id": pa.string(), "digest": pa.string(), "key": pa.string(), "bands": pa.list_(pa.int64())}
-    found = rows.mapInArrow(
-        by_row(of_row, pa.schema(names)), "id string, digest string, key string, bands array<long>"
-    )
-    return found.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType))
-
-
-def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``key`` and ``set`` of the rows of ``docs`` that ``wanted`` has by ``id`` and ``digest``."""
-    text = text_of(docs, text_col)
-    rows = docs.select(docs[id_col].alias("id"), sha256(ascii_lower(text)).alias("digest"), text.alias("t"))
-    same = rows["id"].eqNullSafe(wanted["id"]) & (rows["digest"] == wanted["digest"])
-    rows = rows.join(wanted, same, "left_semi")
-
-    def of_row(text: str) -> list[tuple]:
-        hashes = shingles(text)
-        return [(set_key(hashes), hashes.tobytes())]
-
-    schema = pa.schema([("key", pa.string()), ("set", pa.binary())])
-    found = rows.select("t").mapInArrow(by_row(of_row, schema), "key string, set binary")
-    return found.dropDuplicates(["key"])
-
-
 def one_of_each(
     docs: DataFrame,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
-    similarity: float = SIMILARITY,
+    bits: int = MAX_BITS,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of their group, with all columns. Texts
-    are linked whose sets of runs of five words have a Jaccard similarity of at least
-    ``similarity``; also those that have no words.
+    """The rows of ``docs`` whose id is the least of their group, with all columns. Groups
+    are those of ``near_duplicates``; texts without words are one group.
 
     A row is known by its id and its text, so other texts of the same id, or of no id,
     stay. A null id is greater than any other; of texts of one id that are linked the one
-    with the least digest stays. Rows that agree in id and text stay or go together."""
-    rows = stage(sketches(docs, id_col, text_col), "sketches")
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("first")
-    classes = stage(rows.groupBy("key").agg(first, F.first("bands").alias("bands")), "set-classes")
-    members = classes.select("key", F.explode("bands").alias("band"))
-    shared = members.groupBy("band").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n"))
-    members = stage(members.join(shared.where("n > 1").drop("n"), "band"), "band-members")
-    wanted = classes.join(members, "key", "left_semi").select("first.id", "first.digest")
-    sets = stage(sets_of(docs, stage(wanted, "candidates"), id_col, text_col), "candidate-sets")
-    roots = similar_sets(members, sets, similarity)
-    rooted = classes.join(roots, classes["key"] == roots["node"], "left").select(
-        "key", "first", F.coalesce("root", "key").alias("root")
-    )
+    with the least digest stays. Rows that agree in id and text stay or go together. Very
+    long texts are read in parts; an empty table stays empty."""
+    text = text_of(docs, text_col)
+    rows = docs.select(docs[id_col].cast("string"), sha256(ascii_lower(text)), text)
+
+    def of_row(row_id: str | None, digest: str, text: str) -> list[tuple]:
+        fp = fingerprint(text)
+        return [(row_id, digest, fp - (fp >> 63 << 64))]
+
+    schema = pa.schema([("id", pa.string()), ("digest", pa.string()), ("fp", pa.int64())])
+    rows = rows.mapInArrow(by_row(of_row, schema), "id string, digest string, fp long")
+    rows = rows.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType))
+    rows = stage(rows, "fingerprints")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest"))
+    classes = stage(rows.groupBy("fp").agg(first.alias("first")), "fingerprint-classes")
+    rooted = with_roots(classes, bits, block)
     kept = rooted.groupBy("root").agg(F.min("first").alias("kept"))
-    kept = rooted.join(kept, "root").select("key", "kept")
+    kept = rooted.join(kept, "root").select("fp", "kept")
     stays = F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("digest") == F.col("kept.digest"))
-    others = rows.join(kept, "key").where(~stays)
+    others = rows.join(kept, "fp").where(~stays)
     dropped = stage(others.select("id", "digest").distinct(), "near-copies")
-    digest = sha256(ascii_lower(text_of(docs, text_col)))
+    digest = sha256(ascii_lower(text))
     return without(docs, dropped, {"id": docs[id_col], "digest": digest})
