@@ -8,10 +8,11 @@ of the words one bit away. Of two segments that differ in one bit one is odd, an
 has the other's index among its keys; equal segments have equal keys. A word three
 bits from its codeword gives six keys, any other word one.
 
-Two fingerprints that differ in at most three bits have two segments that differ in at
-most one bit each: leave out the segment with the most errors, and two errors can only
-remain as one and one. So every link shares the key of a pair of segments, and the
-search misses none.
+Of two fingerprints that differ in at most three bits, either two segments are equal but
+for at most one bit of one of them, or all three segments differ in one bit each. The keys
+are therefore, for each ordered pair of segments, the first word as it is with a key of the
+second (35 bits), and a key of all three segments (36 bits). Every link shares one of them,
+so the search misses none, and texts that are not alike hardly ever do.
 
 Only keys that several fingerprints have go on. The fingerprints of a key are dealt
 into blocks of about ``BLOCK``, and each pair of blocks is one row, so a key with very
@@ -38,7 +39,7 @@ SEED = 42
 MAX_BITS = 3
 BLOCK = 1024
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
-PAIRS = ((0, 1), (0, 2), (1, 2))
+PAIRS = ((0, 1), (0, 2), (1, 0), (1, 2), (2, 0), (2, 1))
 #: Fixed value: a generator polynomial of the binary Golay code of length 23.
 GENERATOR = 0b101011100011
 PART = 1 << 20
@@ -132,35 +133,36 @@ def segment_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows[order], keys[order].astype(np.int64)
 
 
-def pair_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows and keys of fingerprints (uint64), over the three pairs of segments."""
-    per_segment = []
+def link_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and keys of fingerprints (uint64); a fingerprint has each key once."""
+    words, per_segment = [], []
     for start, width in SEGMENTS:
-        words = (fps >> np.uint64(start)).astype(np.int64) & ((1 << width) - 1)
-        rows, keys = segment_keys(words)
+        words.append((fps >> np.uint64(start)).astype(np.int64) & ((1 << width) - 1))
+        rows, keys = segment_keys(words[-1])
         starts = np.searchsorted(rows, np.arange(len(fps) + 1))
         per_segment.append((keys, starts[:-1], np.diff(starts)))
     all_rows, all_keys = [], []
-    for number, (a, b) in enumerate(PAIRS):
-        (keys_a, start_a, n_a), (keys_b, start_b, n_b) = per_segment[a], per_segment[b]
-        n = n_a * n_b
+    for number, (exact, near) in enumerate(PAIRS):
+        keys, _, n = per_segment[near]
         rows = np.repeat(np.arange(len(fps)), n)
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        left = keys_a[start_a[rows] + at // n_b[rows]]
-        right = keys_b[start_b[rows] + at % n_b[rows]]
         all_rows.append(rows)
-        all_keys.append(number << 24 | left << 12 | right)
-    return np.concatenate(all_rows), np.concatenate(all_keys)
+        all_keys.append(number << 36 | words[exact][rows] << 12 | keys)
+    n = per_segment[0][2] * per_segment[1][2] * per_segment[2][2]
+    rows = np.repeat(np.arange(len(fps)), n)
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    together = np.full(len(rows), len(PAIRS), np.int64)
+    for keys, start, n in per_segment:
+        together = together << 12 | keys[start[rows] + at % n[rows]]
+        at //= n[rows]
+    return np.concatenate([*all_rows, rows]), np.concatenate([*all_keys, together])
 
 
 def keys_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for at in range(0, whole.num_rows, 4096):
             fps = whole.column(0).slice(at, 4096).to_numpy(zero_copy_only=False)
-            rows, keys = pair_keys(fps.view(np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.astype(np.int32)), pa.array(fps[rows])], names=["key", "fp"]
-            )
+            rows, keys = link_keys(fps.view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fps[rows])], names=["key", "fp"])
 
 
 def forest(a: np.ndarray, b: np.ndarray, bits: int) -> Iterator[tuple[int, int]]:
@@ -232,11 +234,15 @@ def links(distinct: DataFrame, *, bits: int = MAX_BITS, block: int = BLOCK) -> D
     that differ in at most ``bits`` bits, in however many steps."""
     if not 0 <= bits <= MAX_BITS:
         raise ValueError(f"keys of this code find up to {MAX_BITS} differing bits, not {bits}")
-    keyed = distinct.select("fp").mapInArrow(keys_of_batches, "key int, fp long")
+    keyed = distinct.select("fp").mapInArrow(keys_of_batches, "key long, fp long")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
     rows = keyed.join(shared, "key").select("key", "fp", blocks.alias("blocks"))
-    rows = rows.withColumn("own", F.pmod(F.hash("fp"), F.col("blocks")))
+    # The fingerprints of most keys are one block.
+    none = F.array().cast("array<long>").alias("right")
+    single = rows.where("blocks = 1").groupBy("key").agg(F.collect_list("fp").alias("left"))
+    single = single.select("left", none)
+    rows = rows.where("blocks > 1").withColumn("own", F.pmod(F.hash("fp"), F.col("blocks")))
     # A block meets every other one: the one of lower number is on the left.
     rows = rows.select(
         "key", "fp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -248,6 +254,7 @@ def links(distinct: DataFrame, *, bits: int = MAX_BITS, block: int = BLOCK) -> D
         F.collect_list(F.when(on_left, F.col("fp"))).alias("left"),
         F.collect_list(F.when(~on_left, F.col("fp"))).alias("right"),
     )
+    pairs = single.unionByName(pairs.select("left", "right"))
     return pairs.select("left", "right").mapInArrow(links_of_blocks(bits), "a long, b long")
 
 
