@@ -46,7 +46,12 @@ def exact_quantiles(
     edges = {f"lo_{name}": max(probs[name] - margin, 0.0) for name in names}
     edges |= {f"hi_{name}": min(probs[name] + margin, 1.0) for name in names}
     rows = df.select(F.col(key).alias("key"), F.col(value).alias("v")).where("v IS NOT NULL")
-    brackets = stage(approx_quantiles(rows, "key", "v", edges, accuracy), "quantile-brackets")
+    brackets = approx_quantiles(rows.withColumn("v", _sortable(rows)), "key", "v", edges, accuracy)
+    if _has_nan(rows):
+        # What lies beyond infinity is NaN.
+        highest = {c: F.when(F.col(c) < float("inf"), F.col(c)).otherwise(float("nan")) for c in edges if c.startswith("hi_")}
+        brackets = brackets.withColumns(highest)
+    brackets = stage(brackets, "quantile-brackets")
 
     # Rows outside all brackets are counted by the number of brackets they exceed.
     v = F.col("v")
@@ -108,6 +113,17 @@ def exact_quantiles(
     )
 
 
+def _has_nan(rows: DataFrame) -> bool:
+    """Whether the type of ``v`` knows NaN."""
+    return rows.schema["v"].dataType.typeName() in ("float", "double")
+
+
+def _sortable(rows: DataFrame) -> Column:
+    """The values as a sketch can order them: NaN, the greatest, as infinity."""
+    v = F.col("v")
+    return F.when(F.isnan(v), float("inf")).otherwise(v) if _has_nan(rows) else v
+
+
 def _within(value: Column, name: str) -> Column:
     return value.between(F.col(f"lo_{name}"), F.col(f"hi_{name}"))
 

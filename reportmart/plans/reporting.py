@@ -73,6 +73,7 @@ from ..operators.trends import (
     rolling_average,
     underreporters,
 )
+from ..operators.value_sketches import moved_parts, sketch_values, sketched_limits
 from ..sources.landing import Landing, load_landing, unique_memberships
 from ..sources.staging import stage
 from ..sources.tables import partition_files, read_if_present, remove_files, write_table
@@ -222,7 +223,9 @@ def run(
     ``mode="incremental"`` loads only periods the fact lacks, plus those named in
     ``reprocess``. Outlier limits and expected elements are those of all periods, so
     the scores are written anew, and of the fact's other partitions those in which a
-    flag changes. A month named in ``reprocess`` that has rows again is replaced in
+    flag changes. Both come from sketches that are kept beside the fact, and only months
+    with a value between an old and a new limit are read; ``exact_quartiles`` reads the
+    values of all months for the limits. A month named in ``reprocess`` that has rows again is replaced in
     every area. ``fmt`` is the format of the reports; the fact and the completeness
     table are Parquet.
     ``count_duplicates`` splits the removed rows into exact copies and superseded
@@ -310,24 +313,41 @@ def run(
     cleaned = stage(clean(resolved), "cleaned")
     # Limits and expected elements are those of all periods, loaded ones included.
     located = resolve_units(cleaned, tree)
-    measured = cleaned.select("dataElement", "typed_value")
     seen_in = located.select("country_name", "dataElement")
+    measured = cleaned.select("dataElement", "typed_value")
     actual = reported_elements(located)
     scores_path = f"{target}/completeness_scores"
+    sketches_path, limits_path = f"{target}/value_sketches", f"{target}/outlier_limits"
+    sketches = stage(sketch_values(located), "value-sketches")
+    all_sketches, kept = sketches, None
     if loaded is not None:
-        before = of_other_periods(spark.read.parquet(fact_path), cleaned)
-        before = before.withColumnRenamed("data_element_id", "dataElement")
-        # A value of several programmes has a row for each of them.
-        values = before.select("fact_id", "dataElement", "typed_value").dropDuplicates(["fact_id"])
-        measured = measured.unionByName(values.drop("fact_id"))
-        seen_in = seen_in.unionByName(before.select("country_name", "dataElement"))
+        kept = read_if_present(spark, sketches_path)
+        if kept is not None:
+            # A period reads back as a number unless its type is given.
+            kept = spark.read.schema(sketches.schema).parquet(sketches_path)
+            kept = stage(of_other_periods(kept, cleaned), "kept-sketches")
+            all_sketches = sketches.unionByName(kept)
+            seen_in = seen_in.unionByName(kept.select("country_name", "dataElement"))
+        if kept is None or exact_quartiles:
+            before = of_other_periods(spark.read.parquet(fact_path), cleaned)
+            before = before.withColumnRenamed("data_element_id", "dataElement")
+            # A value of several programmes has a row for each of them.
+            values = before.dropDuplicates(["fact_id"])
+            measured = measured.unionByName(values.select("dataElement", "typed_value"))
+            if kept is None:
+                # A fact from before sketches were kept: they are made from it, once.
+                values = values.withColumn("period", F.col("period").cast("string"))
+                kept_now = stage(sketch_values(values), "kept-sketches")
+                all_sketches = sketches = sketches.unionByName(kept_now)
+                seen_in = seen_in.unionByName(before.select("country_name", "dataElement"))
         scored = read_if_present(spark, scores_path)
         if scored is not None:
             scored = scored.withColumn("period", F.col("period").cast("string"))
             actual = actual.unionByName(
                 of_other_periods(scored, cleaned).select(*actual.columns)
             )
-    limits = stage(outlier_limits(measured, exact=exact_quartiles), "outlier-limits")
+    found_limits = outlier_limits(measured, exact=True) if exact_quartiles else sketched_limits(all_sketches)
+    limits = stage(found_limits, "outlier-limits")
     expected = stage(expected_elements(seen_in), "expected-elements")
     scores = stage(score(actual, expected), "scores")
     flagged_rows = with_outlier_flag(cleaned, limits)
@@ -342,16 +362,26 @@ def run(
     published, outdated = fact, []
     if loaded is not None:
         old = of_other_periods(spark.read.schema(fact.schema).parquet(fact_path), fact)
+        known = read_if_present(spark, limits_path)
+        if kept is not None and known is not None:
+            # Months in which no value lies between an old fence and the new one are not read.
+            moved = [r[0] for r in moved_parts(kept, known, limits).collect()]
+            old = old.where(F.col("year_month").isin([f"{p[:4]}-{p[4:6]}" for p in moved]))
         changed = stage(changed_partitions(old, limits, FACT_PARTITIONS), "changed-rows")
         published = fact.unionByName(changed)
         # At most as many months as were named.
         months = fact.where(F.col("period").isin(*reprocess)) if reprocess else fact.limit(0)
         months = [r[0] for r in months.select("year_month").distinct().collect()]
         outdated = partition_files(spark, fact_path, [f"*/year_month={m}" for m in months])
+    replace = "all" if loaded is None else "touched"
+    # Limits that flags no longer follow, should the run end early, are worse than none.
+    write_table(limits.limit(0), limits_path)
     write_table(scores, scores_path, partition_by=["period"])
-    write_fact(published, fact_path, replace="all" if loaded is None else "touched")
+    write_fact(published, fact_path, replace=replace)
     # What a month held in areas that it has no more rows for.
     remove_files(spark, outdated)
+    write_table(sketches, sketches_path, partition_by=["period"], replace=replace)
+    write_table(limits, limits_path)
 
     # A period reads back as a number unless its type is given.
     fact = spark.read.schema(fact.schema).parquet(fact_path)

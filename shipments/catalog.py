@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reportmart.operators import anomaly, drift, quality, quantiles, resolve, rollups, rules, star, tree, trends
+from reportmart.operators import value_sketches
 from reportmart.operators.contract import (
     FACT_CONTRACT,
     ColumnSpec,
@@ -16,7 +17,7 @@ from reportmart.operators.contract import (
 )
 from reportmart.plans.reporting import run
 from reportmart.sources import landing as land
-from reportmart.sources.staging import new_path
+from reportmart.sources.staging import new_path, stage
 from reportmart.sources.tables import write_table
 from reportmart.streaming.incremental import loaded_periods, new_periods
 
@@ -229,6 +230,53 @@ def outlier_limits_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_fences(quartiles)
 
 
+def kept_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sketches after a load of the early months and one of the later ones."""
+    values = model.cleaned_table(spark, sf_dir)
+    path = new_path(spark, "value-sketches")
+    for months in (F.col("period") < CUTOFF, F.col("period") >= CUTOFF):
+        found = value_sketches.sketch_values(values.where(months))
+        write_table(found, path, partition_by=["period"], replace="touched")
+    return spark.read.schema(found.schema).parquet(path)
+
+
+@query
+def sketched_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the quartiles of kept sketches have the ranks they should, by counting."""
+    values = model.cleaned_table(spark, sf_dir).where("typed_value IS NOT NULL")
+    kept = stage(kept_sketches(spark, sf_dir), "kept-sketches")
+    limits = stage(value_sketches.sketched_limits(kept), "sketched-limits")
+    n_kept = kept.groupBy("dataElement").agg(F.sum("n").alias("n_kept"))
+    counted = values.join(limits, "dataElement").groupBy("dataElement").agg(
+        F.count(F.lit(1)).alias("n_values"),
+        *(F.avg((F.col("typed_value") < F.col(q)).cast("int")).alias(f"{q}_below") for q in quality.QUARTILES),
+        *(F.avg((F.col("typed_value") <= F.col(q)).cast("int")).alias(f"{q}_upto") for q in quality.QUARTILES),
+    )
+    error = value_sketches.RANK_ERROR
+
+    def in_rank(name: str, p: float) -> Column:
+        return (F.col(f"{name}_below") <= p + error) & (F.col(f"{name}_upto") >= p - error)
+
+    return counted.join(n_kept, "dataElement").select(
+        "dataElement", "n_values", "n_kept", *(in_rank(q, p).alias(f"{q}_in_rank") for q, p in quality.QUARTILES.items())
+    )
+
+
+@query
+def moved_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of the early months whose flag the later ones change, found in those months
+    only that the kept sketches name."""
+    values = model.cleaned_table(spark, sf_dir)
+    early = values.where(F.col("period") < CUTOFF)
+    before = stage(quality.outlier_limits(early, exact=True), "early-limits")
+    after = stage(quality.outlier_limits(values, exact=True), "all-limits")
+    kept = kept_sketches(spark, sf_dir).where(F.col("period") < CUTOFF)
+    parts = stage(value_sketches.moved_parts(kept, before, after), "moved-parts")
+    rows = early.join(parts, "period", "left_semi").select("dataElement", "period", "orgUnit", "categoryOptionCombo", "typed_value")
+    was = quality.with_outlier_flag(rows, before).withColumnRenamed("is_outlier", "was_outlier")
+    return quality.with_outlier_flag(was, after).where("was_outlier <> is_outlier")
+
+
 @query
 def iqr_outlier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged_events(spark, sf_dir).where("is_outlier")

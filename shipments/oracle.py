@@ -322,6 +322,17 @@ SELECTS = {
             CAST(substr(coalesce("lastUpdated", created), 1, 10) AS DATE)) > 60, false)
         AS is_late_reported FROM valid""",
     "outlier_limits": "SELECT * FROM limits",
+    "sketched_limits": """SELECT "dataElement", count(typed_value) AS n_values,
+        count(typed_value) AS n_kept, true AS q1_in_rank, true AS q3_in_rank
+        FROM outlying GROUP BY ALL HAVING count(typed_value) > 0""",
+    "moved_flags": """SELECT * FROM (
+        SELECT o."dataElement", period, "orgUnit", "categoryOptionCombo", typed_value, is_outlier,
+            coalesce(q3 > q1 AND (typed_value < q1 - 3 * (q3 - q1) OR typed_value > q3 + 3 * (q3 - q1)), false)
+                AS was_outlier
+        FROM outlying o LEFT JOIN (
+            SELECT "dataElement", quantile_disc(typed_value, 0.25) AS q1, quantile_disc(typed_value, 0.75) AS q3
+            FROM outlying WHERE period < '199901' GROUP BY 1) USING ("dataElement")
+        WHERE period < '199901') WHERE was_outlier <> is_outlier""",
     "iqr_outlier": """SELECT event_id, event_type, value, true AS is_outlier
         FROM events JOIN (SELECT event_type, quantile_disc(value, 0.25) AS q1,
                                  quantile_disc(value, 0.75) AS q3 FROM events GROUP BY 1)
