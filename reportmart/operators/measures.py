@@ -18,6 +18,7 @@ def distinct(column: str) -> Column:
 
 def summarise(df: DataFrame, keys: Sequence[str], **measures: Column) -> DataFrame:
     """One row per combination of ``keys`` with one column per measure, combined
-    map-side. Distinct counts are first reduced to one row per key and counted
-    value, so a hot key is spread over the tasks that hold its values."""
+    map-side. A distinct count is first reduced to one row per key and counted value, so
+    a hot key is spread over the tasks that hold its values. Pass one at most: for two
+    Spark expands the input, see ``unit_bitmaps`` for a way without."""
     return df.groupBy(*keys).agg(*(m.alias(name) for name, m in measures.items()))

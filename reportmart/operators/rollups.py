@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import month_index
 from .measures import distinct, rows, summarise
+from .unit_bitmaps import roll_up, totals_of
 
 # Names of the outputs' columns and the reports' parameters.
 COUNTRY_KPI_KEY = (
@@ -25,14 +26,18 @@ def country_kpis(
     value: str = "typed_value",
     unit: str = "org_unit_id",
     period: str = "period",
+    totals: DataFrame | None = None,
 ) -> DataFrame:
-    return summarise(
-        fact,
-        keys,
-        total=F.sum(value),
-        mean_per_report=F.avg(value),
-        n_facilities=distinct(unit),
-        n_periods=distinct(period),
+    """Total, mean, facilities and periods per country and element. ``totals`` are kept
+    unit totals of the fact, which is not read then."""
+    if totals is None:
+        totals = totals_of(fact, [*keys, period], value, unit)
+    return roll_up(totals, keys, period).select(
+        *keys,
+        "total",
+        F.col("mean").alias("mean_per_report"),
+        F.col("n_units").alias("n_facilities"),
+        F.col("n_also").alias("n_periods"),
     )
 
 
@@ -41,7 +46,17 @@ def quarterly_volumes(
     keys: Sequence[str] = QUARTER_KEY,
     value: str = "typed_value",
     unit: str = "org_unit_id",
+    totals: DataFrame | None = None,
 ) -> DataFrame:
+    """Total, rows and facilities per quarter; see ``country_kpis`` for ``totals``."""
+    if totals is not None:
+        found = roll_up(totals, keys).select(
+            *keys,
+            F.col("total").alias("quarterly_total"),
+            F.col("n_rows").alias("record_count"),
+            F.col("n_units").alias("n_facilities"),
+        )
+        return found.orderBy(*keys)
     return summarise(
         fact, keys, quarterly_total=F.sum(value), record_count=rows(), n_facilities=distinct(unit)
     ).orderBy(*keys)
@@ -53,13 +68,16 @@ def global_totals(
     value: str = "typed_value",
     country: str = "country_name",
     unit: str = "org_unit_id",
+    totals: DataFrame | None = None,
 ) -> DataFrame:
-    return summarise(
-        fact,
-        keys,
-        global_total=F.sum(value),
-        n_countries=distinct(country),
-        n_facilities=distinct(unit),
+    """Total, countries and facilities per element and period; see ``country_kpis``."""
+    if totals is None:
+        totals = totals_of(fact, [*keys, country], value, unit)
+    return roll_up(totals, keys, country).select(
+        *keys,
+        F.col("total").alias("global_total"),
+        F.col("n_also").alias("n_countries"),
+        F.col("n_units").alias("n_facilities"),
     )
 
 

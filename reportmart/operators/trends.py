@@ -11,6 +11,7 @@ from ..sources.staging import stage
 from .measures import distinct, rows, summarise
 from .series import ROWS_PER_TASK, with_frames
 from .tree import FACILITY_LEVEL, known_facilities
+from .unit_bitmaps import roll_up
 
 # Names of the outputs' columns and the reports' parameters.
 SERIES_KEY = ("org_unit_id", "data_element_id")
@@ -32,8 +33,17 @@ def monthly_volume(
     keys: Sequence[str] = VOLUME_KEY,
     value: str = "typed_value",
     unit: str = "org_unit_id",
+    totals: DataFrame | None = None,
 ) -> DataFrame:
-    """Total, rows and reporting facilities per programme, country and month."""
+    """Total, rows and reporting facilities per programme, country and month. ``totals`` are
+    kept unit totals of the fact, which is not read then."""
+    if totals is not None:
+        return roll_up(totals, keys).select(
+            *keys,
+            F.col("total").alias("total_value"),
+            F.col("n_rows").alias("record_count"),
+            F.col("n_units").alias("reporting_facilities"),
+        )
     return summarise(
         fact, keys, total_value=F.sum(value), record_count=rows(), reporting_facilities=distinct(unit)
     )
@@ -123,10 +133,15 @@ def reporting_rate(
     keys: Sequence[str] = ("country_name", "period"),
     unit: str = "org_unit_id",
     level: int = FACILITY_LEVEL,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
-    """Facilities that reported, in percent of those the tree knows in the country."""
+    """Facilities that reported, in percent of those the tree knows in the country; see
+    ``monthly_volume`` for ``totals``."""
     known = stage(known_facilities(flat_tree, level), "known-facilities")
-    reporting = summarise(fact, keys, reporting_facilities=distinct(unit))
+    if totals is not None:
+        reporting = roll_up(totals, keys).select(*keys, F.col("n_units").alias("reporting_facilities"))
+    else:
+        reporting = summarise(fact, keys, reporting_facilities=distinct(unit))
     return reporting.join(known, "country_name", "left").withColumn(
         "reporting_rate_pct",
         percent(F.col("reporting_facilities"), F.col("total_known_facilities")),

@@ -73,6 +73,7 @@ from ..operators.trends import (
     rolling_average,
     underreporters,
 )
+from ..operators.unit_bitmaps import number_units, unit_totals
 from ..operators.value_sketches import moved_parts, sketch_values, sketched_limits
 from ..sources.landing import Landing, load_landing, unique_memberships
 from ..sources.staging import stage
@@ -178,27 +179,34 @@ def describe(
 Reports = dict[str, Callable[[], DataFrame]]
 
 
-def analytics(fact: DataFrame, flat_tree: DataFrame, found: DataFrame | None = None) -> Reports:
-    """The programme reports by output name; ``found`` are the fact's long series."""
+def analytics(
+    fact: DataFrame,
+    flat_tree: DataFrame,
+    found: DataFrame | None = None,
+    totals: DataFrame | None = None,
+) -> Reports:
+    """The programme reports by output name; ``found`` are the fact's long series, ``totals``
+    its kept unit totals."""
     return {
-        "analytics_monthly_volume": lambda: monthly_volume(fact),
+        "analytics_monthly_volume": lambda: monthly_volume(fact, totals=totals),
         "analytics_kpi_summary": lambda: kpi_summary(fact),
         "analytics_period_over_period": lambda: period_change(fact),
         "analytics_rolling_avg": lambda: rolling_average(fact, found=found),
-        "analytics_reporting_rate": lambda: reporting_rate(fact, flat_tree),
+        "analytics_reporting_rate": lambda: reporting_rate(fact, flat_tree, totals=totals),
         "analytics_underreporters": lambda: underreporters(fact),
     }
 
 
-def cross_country(fact: DataFrame, scores: DataFrame) -> Reports:
-    """The cross-country reports by output name."""
+def cross_country(fact: DataFrame, scores: DataFrame, totals: DataFrame | None = None) -> Reports:
+    """The cross-country reports by output name, from kept unit totals where given."""
+    matrix = partial(coverage_matrix, fact) if totals is None else partial(coverage_matrix, totals, value="total")
     return {
-        "cross_country_kpis": lambda: country_kpis(fact),
-        "cross_country_quarterly": lambda: quarterly_volumes(fact),
-        "cross_country_coverage_matrix": lambda: coverage_matrix(fact),
+        "cross_country_kpis": lambda: country_kpis(fact, totals=totals),
+        "cross_country_quarterly": lambda: quarterly_volumes(fact, totals=totals),
+        "cross_country_coverage_matrix": matrix,
         "cross_country_completeness": lambda: completeness_by_country(scores),
         "consecutive_low_completeness": lambda: low_streaks(scores),
-        "global_aggregation": lambda: global_totals(fact),
+        "global_aggregation": lambda: global_totals(fact, totals=totals),
     }
 
 
@@ -353,6 +361,20 @@ def run(
     flagged_rows = with_outlier_flag(cleaned, limits)
     fact = stage(build_fact(describe(flagged_rows, elements, combos, tree), bridge), "fact")
 
+    numbers_path, totals_path = f"{target}/unit_numbers", f"{target}/unit_totals"
+    known_numbers, counted = None, fact
+    if loaded is not None:
+        known_numbers = read_if_present(spark, numbers_path)
+        if known_numbers is None or known_numbers.isEmpty():
+            # A fact from before totals were kept, or a run that ended early: totals are made
+            # from all of it, once.
+            known_numbers = None
+            old = of_other_periods(spark.read.schema(fact.schema).parquet(fact_path), fact)
+            counted = fact.unionByName(old)
+    numbers = number_units(counted, known_numbers)
+    numbers = stage(numbers if known_numbers is None else numbers.union(known_numbers), "unit-numbers")
+    totals = stage(unit_totals(counted, numbers), "unit-totals")
+
     # Both gates come before anything is published, so a failed run leaves the last good
     # tables as they are and its periods count as not loaded.
     check_nonempty(fact)
@@ -376,16 +398,21 @@ def run(
     replace = "all" if loaded is None else "touched"
     # Limits that flags no longer follow, should the run end early, are worse than none.
     write_table(limits.limit(0), limits_path)
+    write_table(numbers.limit(0), numbers_path)
     write_table(scores, scores_path, partition_by=["period"])
     write_fact(published, fact_path, replace=replace)
     # What a month held in areas that it has no more rows for.
     remove_files(spark, outdated)
     write_table(sketches, sketches_path, partition_by=["period"], replace=replace)
     write_table(limits, limits_path)
+    write_table(totals, totals_path, partition_by=["period"], replace=replace)
+    # Numbers come last: without them the next load makes all totals again.
+    write_table(numbers, numbers_path)
 
     # A period reads back as a number unless its type is given.
     fact = spark.read.schema(fact.schema).parquet(fact_path)
     scores = spark.read.schema(scores.schema).parquet(scores_path)
+    totals = spark.read.schema(totals.schema).parquet(totals_path)
 
     flat_tables = {
         "dim_data_element": elements,
@@ -395,8 +422,8 @@ def run(
     found = long_series(fact, SERIES_KEY)
     findings = Observation("anomalies")
     reports: Reports = {
-        **analytics(fact, tree, found),
-        **cross_country(fact, scores),
+        **analytics(fact, tree, found, totals),
+        **cross_country(fact, scores, totals),
         "anomalies": lambda: detect_anomalies(fact, found=found).observe(
             findings, F.count(F.lit(1)).alias("n")
         ),

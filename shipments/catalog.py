@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -618,8 +619,10 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(frame, "quarantine_pct", "avg_completeness_pct")
 
 
+@lru_cache(maxsize=1)
 def loaded_in_two(spark: SparkSession, sf_dir: str) -> str:
-    """The folder of a run over the early months, then an incremental run over all of them."""
+    """The folder of a run over the early months, then an incremental run over all of them.
+    Several queries look at the outputs of the same two runs."""
     target = new_path(spark, "run")
     whole = model.landing(spark, sf_dir)
     early = {**vars(whole), "values": whole.values.where(F.col("period") < CUTOFF)}
@@ -655,3 +658,37 @@ def run_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count_if("is_late_reported").alias("n_late"),
         )
     )
+
+
+# Reports of an incremental load, which come from kept unit totals.
+
+
+@query
+def run_incremental_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spark.read.parquet(f"{loaded_in_two(spark, sf_dir)}/cross_country_kpis")
+    return rounded(found, "mean_per_report")
+
+
+@query
+def run_incremental_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{loaded_in_two(spark, sf_dir)}/cross_country_quarterly")
+
+
+@query
+def run_incremental_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{loaded_in_two(spark, sf_dir)}/cross_country_coverage_matrix")
+
+
+@query
+def run_incremental_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{loaded_in_two(spark, sf_dir)}/global_aggregation")
+
+
+@query
+def run_incremental_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{loaded_in_two(spark, sf_dir)}/analytics_monthly_volume")
+
+
+@query
+def run_incremental_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{loaded_in_two(spark, sf_dir)}/analytics_reporting_rate")

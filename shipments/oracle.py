@@ -490,6 +490,12 @@ SELECTS = {
 # A load in two steps gives what one load gives.
 SELECTS["run_incremental_fact"] = SELECTS["fact_build"]
 SELECTS["run_incremental_scores"] = SELECTS["completeness"]
+SELECTS["run_incremental_kpis"] = SELECTS["country_kpis"]
+SELECTS["run_incremental_quarterly"] = SELECTS["quarterly_volumes"]
+SELECTS["run_incremental_matrix"] = SELECTS["coverage_matrix"]
+SELECTS["run_incremental_global"] = SELECTS["global_totals"]
+SELECTS["run_incremental_monthly"] = SELECTS["monthly_volume"]
+SELECTS["run_incremental_rate"] = SELECTS["reporting_rate"]
 
 # The same results by the branches that split what is too large for a task.
 for plain in ("outlier_limits", "rolling_avg", "anomalies"):
