@@ -1,6 +1,9 @@
 r"""Recognition of licences by sentences and rules.
 
-A text is cut into sentences: at ``.``, ``!`` or ``?`` before white space, and at line ends,
+A text is cut into sentences: at ``.``, ``!`` or ``?`` before white space, and at a line end
+after one of these or ``:``, before a blank line, before a line that begins like a known
+sentence, or before a list item, whose number is left out. Comment marks before a line are no part of it. Where such a sentence is not known, it may
+be several that lack their ends, as a heading over a notice, so it is cut at its line ends too,
 except where the next line goes on in lower case. A sentence is normalised to its ASCII
 letters and digits, in lower case with single spaces, and looked up among the known ones.
 The identifiers of a text stand in a sequence; where more than ``MAX_GAP`` unknown sentences
@@ -14,6 +17,7 @@ All of it happens within a row, so nothing is shuffled and no row depends on ano
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,6 +25,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import ascii_lower, text_of
 
 MAX_GAP = 2
+#: Between sentences once they are found.
+END = "\u0001"
+#: A line that begins with a number, a number or letter in brackets, or a dash.
+LIST_ITEM = r"\n(\([a-z0-9]{1,2}\)|[0-9]{1,2}[.)]|[-•])[ \t]+"
 #: Known sentences of licence texts by identifier.
 SENTENCES = {
     "apache-ref": ["Licensed under the Apache License, Version 2.0"],
@@ -128,15 +136,24 @@ def known_sentences(sentences: dict[str, list[str]]) -> dict[str, str]:
     return {normalised(s): name for name, several in sentences.items() for s in several}
 
 
-def sentences_of(text: Column) -> Column:
-    """The normalised sentences of a text."""
-    unwrapped = F.regexp_replace(text, r"\r?\n[ \t#*/;]*([a-z0-9])", " $1")
-    ended = F.regexp_replace(unwrapped, r"([.!?])[ \t]+", "$1\n")
+def beginnings(known: Iterable[str], words: int = 6) -> str:
+    """A pattern for the first words of known sentences, whatever stands between them."""
+    first = sorted({tuple(s.split()[:words]) for s in known})
+    return "(?i:" + "|".join("[^a-z0-9]+".join(ws) for ws in first) + ")"
 
-    def normalise(sentence: Column) -> Column:
-        return F.trim(F.regexp_replace(ascii_lower(sentence), "[^a-z0-9]+", " "))
 
-    return F.transform(F.split(ended, "\n"), normalise)
+def sentences_of(text: Column, known: Iterable[str]) -> Column:
+    """The sentences of a text, with the line ends that are within them."""
+    lines = F.regexp_replace(F.concat(F.lit("\n"), text), r"\r?\n[ \t#*/;]*", "\n")
+    broken = F.regexp_replace(lines, LIST_ITEM, "\n\n")
+    broken = F.regexp_replace(broken, rf"\n({beginnings(known)})", "\n\n$1")
+    broken = F.regexp_replace(broken, r"([.!?:])[ \t]*\n", "$1\n\n")
+    ended = F.regexp_replace(broken, r"\n\n+", END)
+    return F.split(F.regexp_replace(ended, r"([.!?])[ \t]+", "$1" + END), END)
+
+
+def normalise(sentence: Column) -> Column:
+    return F.trim(F.regexp_replace(ascii_lower(sentence), "[^a-z0-9]+", " "))
 
 
 def identify(sentences: Column, known: dict[str, str], max_gap: int) -> Column:
@@ -144,13 +161,16 @@ def identify(sentences: Column, known: dict[str, str], max_gap: int) -> Column:
     names = F.create_map(*[F.lit(x) for x in chain.from_iterable(known.items())])
 
     def name(sentence: Column) -> Column:
-        found = F.try_element_at(names, sentence)
-        return F.coalesce(F.concat(F.lit("<"), found, F.lit(">")), F.lit("_"))
+        return F.concat(F.lit("<"), F.try_element_at(names, sentence), F.lit(">"))
+
+    def by_lines(sentence: Column) -> Column:
+        lines = F.split(F.regexp_replace(sentence, r"\n([a-z])", " $1"), "\n")
+        # Empty lines are no sentences.
+        said = F.filter(F.transform(lines, normalise), lambda s: s != "")
+        return F.array_join(F.transform(said, lambda s: F.coalesce(name(s), F.lit("_"))), "")
 
-    # Empty sentences, as between blank lines, are no sentences.
-    said = F.filter(sentences, lambda s: s != "")
-    marked = F.array_join(F.transform(said, name), "")
-    runs = F.regexp_replace(marked, f"_{{{max_gap + 1},}}", "|")
+    found = F.transform(sentences, lambda s: F.coalesce(name(normalise(s)), by_lines(s)))
+    runs = F.regexp_replace(F.array_join(found, ""), f"_{{{max_gap + 1},}}", "|")
     return F.regexp_replace(F.regexp_replace(runs, "_", ""), r"^\||\|$", "")
 
 
@@ -170,7 +190,7 @@ def scan_licenses(
     repeat an id are rows of their own; other columns are not read. An empty table gives an
     empty result."""
     known = known_sentences(sentences)
-    found = identify(sentences_of(text_of(docs, text_col)), known, max_gap)
+    found = identify(sentences_of(text_of(docs, text_col), known), known, max_gap)
     steps = F.array(
         *[
             F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{s}>" for s in ids)).alias("ids"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .common import UPPER
-from .licenses import MAX_GAP, RULES, SENTENCES, known_sentences
+from .licenses import MAX_GAP, RULES, SENTENCES, beginnings, known_sentences
 from .queries import ADDED, ADDED_TEXT
 
 LOWERED = "translate({}, '" + UPPER + "', '" + UPPER.lower() + "')"
@@ -31,7 +31,11 @@ FROM said GROUP BY conv_id
 """
 
 
+ITEM = r"^(\([a-z0-9]{1,2}\)|[0-9]{1,2}[.)]|[-•])[ \t]+"
+
+
 def licenses_sql() -> str:
+    """Lines are numbered and grouped to sentences by a window over their breaks."""
     known = known_sentences(SENTENCES)
     sentence = LOWERED.format("s")
     steps, at = [], "found"
@@ -46,18 +50,41 @@ def licenses_sql() -> str:
     FROM {at})"""
         )
         at = f"r{number}"
+    names = f"coalesce('<' || ({listed([*known.values()])})[list_position({listed([*known])}, {{}})] || '>', {{}})"
+    whole, line = names.format("said", "NULL"), names.format("p", "'_'")
     return rf"""
-WITH cut AS (
-    SELECT doc_id, string_split(regexp_replace(regexp_replace(coalesce(text, ''),
-        '\r?\n[ \t#*/;]*([a-z0-9])', ' \1', 'g'), '([.!?])[ \t]+', '\1' || chr(10), 'g'), chr(10)) AS cut
-    FROM documents
-), said AS (
-    SELECT doc_id, list_filter(list_transform(cut, lambda s:
-        trim(regexp_replace({sentence}, '[^a-z0-9]+', ' ', 'g'), ' ')), lambda s: s <> '') AS said FROM cut
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), raw AS (
+    SELECT rid, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS n FROM docs
+), stripped AS (
+    SELECT rid, doc_id, n, ltrim(regexp_replace(line, '\r$', ''), ' #*/;' || chr(9)) AS line FROM raw
+), marked_lines AS (
+    SELECT rid, doc_id, n, regexp_matches(line, '{ITEM}') AS item, regexp_replace(line, '{ITEM}', '') AS line
+    FROM stripped
+), breaks AS (
+    SELECT rid, doc_id, n, line, item OR line = '' OR regexp_matches(line, '^{beginnings(known)}')
+        OR coalesce(lag(line = '' OR
+        regexp_matches(line, '[.!?:][ \t]*$')) OVER (PARTITION BY rid ORDER BY n), false) AS breaks
+    FROM marked_lines
+), numbered AS (
+    SELECT *, sum(breaks::INT) OVER (PARTITION BY rid ORDER BY n) AS g FROM breaks
+), paragraphs AS (
+    SELECT rid, doc_id, g, string_split(regexp_replace(string_agg(line, chr(10) ORDER BY n),
+        '([.!?])[ \t]+', '\1' || chr(1), 'g'), chr(1)) AS cut
+    FROM numbered GROUP BY ALL
+), sentences AS (
+    SELECT rid, doc_id, g, unnest(cut) AS s, generate_subscripts(cut, 1) AS i FROM paragraphs
+), normal AS (
+    SELECT *, trim(regexp_replace({sentence}, '[^a-z0-9]+', ' ', 'g'), ' ') AS said FROM sentences
+), named AS (
+    SELECT rid, doc_id, g, i, coalesce({whole}, array_to_string(list_transform(list_filter(list_transform(
+        string_split(regexp_replace(s, '\n([a-z])', ' \1', 'g'), chr(10)),
+        lambda p: trim(regexp_replace({LOWERED.format("p")}, '[^a-z0-9]+', ' ', 'g'), ' ')),
+        lambda p: p <> ''), lambda p: {line}), ''), '') AS mark
+    FROM normal
 ), marked AS (
-    SELECT doc_id, coalesce(array_to_string(list_transform(said, lambda s:
-        coalesce('<' || ({listed([*known.values()])})[list_position({listed([*known])}, s)] || '>', '_')), ''), '') AS marked
-    FROM said
+    SELECT doc_id, string_agg(mark, '' ORDER BY g, i) AS marked FROM named GROUP BY rid, doc_id
 ), found AS (
     SELECT doc_id, regexp_replace(replace(regexp_replace(marked, '_{{{MAX_GAP + 1},}}', '|', 'g'), '_', ''),
         '^\||\|$', '', 'g') AS identifiers, identifiers AS rest, '' AS names, 0::BIGINT AS total

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql.types import FloatType
 
 from ..sources.staging import stage
 from .common import rows_of
@@ -42,14 +43,21 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.groupBy("id").agg(F.min("vec").alias("vec"))
 
 
-def packed(rows: DataFrame, n_blocks: int) -> DataFrame:
+def component_type(vectors: DataFrame, vector_col: str) -> type:
+    """What holds the components exactly: float32 where the column has floats, so that a
+    block has half the bytes to shuffle, else float64."""
+    element = vectors.schema[vector_col].dataType.elementType
+    return np.float32 if isinstance(element, FloatType) else np.float64
+
+
+def packed(rows: DataFrame, n_blocks: int, component: type = np.float64) -> DataFrame:
     """Blocks of vectors of one dimension: their ids and components as bytes."""
     schema = "dim int, block int, ids binary, vecs binary"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for dim, block, members in rows_of(batches, 1):
             ids = np.array([m["id"] for m in members], np.int64)
-            vecs = np.array([m["vec"] for m in members], np.float64)
+            vecs = np.array([m["vec"] for m in members], component)
             order = np.argsort(ids)
             columns = [[dim], [block], [ids[order].tobytes()], [vecs[order].tobytes()]]
             types = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
@@ -69,9 +77,9 @@ def packed(rows: DataFrame, n_blocks: int) -> DataFrame:
 class Block:
     """Vectors of a block with their rounded forms and error bounds."""
 
-    def __init__(self, dim: int, ids: bytes, vecs: bytes) -> None:
+    def __init__(self, dim: int, ids: bytes, vecs: bytes, component: type = np.float64) -> None:
         self.ids = np.frombuffer(ids, np.int64)
-        self.vecs = np.frombuffer(vecs, np.float64).reshape(-1, dim)
+        self.vecs = np.frombuffer(vecs, component).reshape(-1, dim).astype(np.float64)
         self.norms = np.sqrt((self.vecs * self.vecs).sum(axis=1))
         unit = self.vecs / self.norms[:, None]
         self.scale = np.abs(unit).max(axis=1) / 127
@@ -152,8 +160,9 @@ def nearest(
     wanted = stage(usable(queries, id_col, vector_col), "query-vectors")
     n_blocks = max(1, -(-rows.count() // block))
     n_query_blocks = max(1, -(-wanted.count() // query_block))
-    candidates = packed(rows, n_blocks).toDF("dim", "block", "ids", "vecs")
-    asked = packed(wanted, n_query_blocks).toDF("dim", "query_block", "query_ids", "query_vecs")
+    types = component_type(vectors, vector_col), component_type(queries, vector_col)
+    candidates = packed(rows, n_blocks, types[0]).toDF("dim", "block", "ids", "vecs")
+    asked = packed(wanted, n_query_blocks, types[1]).toDF("dim", "query_block", "query_ids", "query_vecs")
     # Each block of queries goes to every block of candidates.
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     tiles = candidates.join(asked, ["dim", "block"]).select(
@@ -166,9 +175,9 @@ def nearest(
         right: tuple = ()
         for dim, query_block, query_ids, query_vecs, number, ids, vecs in rows_of(batches, 1):
             if left[:2] != (dim, query_block):
-                left = (dim, query_block, Block(dim, query_ids, query_vecs))
+                left = (dim, query_block, Block(dim, query_ids, query_vecs, types[1]))
             if right[:2] != (dim, number):
-                right = (dim, number, Block(dim, ids, vecs))
+                right = (dim, number, Block(dim, ids, vecs, types[0]))
             found.add(left[2], right[2])
             if len(found.heaps) > 100_000:
                 yield found.batch()
