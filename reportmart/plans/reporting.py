@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import asdict, dataclass
 from functools import partial
 
@@ -61,7 +62,6 @@ from ..operators.star import (
     build_fact,
     check_nonempty,
     period_dimension,
-    write_fact,
 )
 from ..operators.tree import UNIT_ON, flatten_tree, resolve_units
 from ..operators.trends import (
@@ -76,9 +76,16 @@ from ..operators.trends import (
 from ..operators.unit_bitmaps import number_units, unit_totals
 from ..operators.value_sketches import moved_parts, sketch_values, sketched_limits
 from ..sources.landing import Landing, load_landing, unique_memberships
-from ..sources.staging import stage
-from ..sources.tables import partition_files, read_if_present, remove_files, write_table
-from ..streaming.incremental import changed_partitions, loaded_periods, of_other_periods
+from ..sources.releases import InPlace, Releases
+from ..sources.staging import own_folder, stage
+from ..streaming.incremental import changed_partitions, of_other_periods, periods_of
+
+SCORES = "completeness_scores"
+SKETCHES = "value_sketches"
+LIMITS = "outlier_limits"
+UNIT_NUMBERS = "unit_numbers"
+TOTALS = "unit_totals"
+SNAPSHOT = "metadata_snapshot"
 
 OUTCOME = "outcome"
 QUARANTINED = "quarantined"
@@ -225,6 +232,8 @@ def run(
     exact_quartiles: bool = False,
     count_duplicates: bool = False,
     concurrent_reports: int = 4,
+    releases: bool = False,
+    keep_releases: int = 2,
 ) -> RunReport:
     """Run every stage and write every output under ``target``.
 
@@ -240,18 +249,56 @@ def run(
     values, at the cost of one more shuffle. Raises ``GateError`` when too many
     rows are quarantined or no fact row results, ``ContractViolation`` when the
     fact breaks its contract.
+
+    With ``releases`` all outputs change at once, when the last one is written, and are
+    read through ``Releases(spark, target)``; the newest ``keep_releases`` can be opened.
+    Otherwise each output is replaced in place, one after the other. Staged tables are
+    removed when the run ends.
     """
     if mode not in ("full", "incremental"):
         raise ValueError(f"mode must be 'full' or 'incremental', not {mode!r}")
+    tables = Releases(spark, target) if releases else InPlace(spark, target)
+    options = {
+        "mode": mode,
+        "reprocess": reprocess,
+        "fmt": fmt,
+        "contract": contract,
+        "max_quarantine_pct": max_quarantine_pct,
+        "exact_quartiles": exact_quartiles,
+        "count_duplicates": count_duplicates,
+        "concurrent_reports": concurrent_reports,
+    }
+    with own_folder(spark):
+        landing = source
+        if not isinstance(landing, Landing):
+            landing = load_landing(spark, source, layout=layout, values_layout=values_layout)
+        report = load(landing, tables, **options)
+        tables.commit()
+    if releases:
+        tables.sweep(keep_releases)
+    return report
+
+
+def load(
+    landing: Landing,
+    tables: InPlace | Releases,
+    *,
+    mode: str,
+    reprocess: Sequence[str],
+    fmt: str,
+    contract: Contract,
+    max_quarantine_pct: float,
+    exact_quartiles: bool,
+    count_duplicates: bool,
+    concurrent_reports: int,
+) -> RunReport:
+    """The stages of ``run``: read and write the tables of a warehouse, without committing."""
+    spark = tables.spark
     started = time.monotonic()
-    fact_path = f"{target}/{FACT_NAME}"
 
     def publish(name: str, df: DataFrame) -> None:
-        write_table(df, f"{target}/{name}", fmt=fmt)
+        tables.write(df, name, fmt=fmt)
 
-    landing = source
-    if not isinstance(landing, Landing):
-        landing = load_landing(spark, source, layout=layout, values_layout=values_layout)
     elements = stage(one_per_key(landing.data_elements, ["id"]), "elements")
     combos = stage(one_per_key(landing.category_option_combos, ["id"]), "combos")
     units = stage(one_per_key(landing.org_units, ["id"]), "units")
@@ -261,9 +308,11 @@ def run(
 
     loaded = None
     if mode == "incremental":
-        loaded = loaded_periods(spark, fact_path)
-        if loaded is not None and reprocess:
-            loaded = loaded.where(~F.col("period").isin(*reprocess))
+        known_fact = tables.read(FACT_NAME)
+        if known_fact is not None:
+            loaded = stage(periods_of(known_fact), "loaded-periods")
+            if reprocess:
+                loaded = loaded.where(~F.col("period").isin(*reprocess))
 
     # One pass over the landed values: check, resolve, route, count.
     seen = Observation("routing")
@@ -324,20 +373,17 @@ def run(
     seen_in = located.select("country_name", "dataElement")
     measured = cleaned.select("dataElement", "typed_value")
     actual = reported_elements(located)
-    scores_path = f"{target}/completeness_scores"
-    sketches_path, limits_path = f"{target}/value_sketches", f"{target}/outlier_limits"
     sketches = stage(sketch_values(located), "value-sketches")
     all_sketches, kept = sketches, None
     if loaded is not None:
-        kept = read_if_present(spark, sketches_path)
+        # A period reads back as a number unless its type is given.
+        kept = tables.read(SKETCHES, sketches.schema)
         if kept is not None:
-            # A period reads back as a number unless its type is given.
-            kept = spark.read.schema(sketches.schema).parquet(sketches_path)
             kept = stage(of_other_periods(kept, cleaned), "kept-sketches")
             all_sketches = sketches.unionByName(kept)
             seen_in = seen_in.unionByName(kept.select("country_name", "dataElement"))
         if kept is None or exact_quartiles:
-            before = of_other_periods(spark.read.parquet(fact_path), cleaned)
+            before = of_other_periods(known_fact, cleaned)
             before = before.withColumnRenamed("data_element_id", "dataElement")
             # A value of several programmes has a row for each of them.
             values = before.dropDuplicates(["fact_id"])
@@ -348,7 +394,7 @@ def run(
                 kept_now = stage(sketch_values(values), "kept-sketches")
                 all_sketches = sketches = sketches.unionByName(kept_now)
                 seen_in = seen_in.unionByName(before.select("country_name", "dataElement"))
-        scored = read_if_present(spark, scores_path)
+        scored = tables.read(SCORES)
         if scored is not None:
             scored = scored.withColumn("period", F.col("period").cast("string"))
             actual = actual.unionByName(
@@ -361,15 +407,14 @@ def run(
     flagged_rows = with_outlier_flag(cleaned, limits)
     fact = stage(build_fact(describe(flagged_rows, elements, combos, tree), bridge), "fact")
 
-    numbers_path, totals_path = f"{target}/unit_numbers", f"{target}/unit_totals"
     known_numbers, counted = None, fact
     if loaded is not None:
-        known_numbers = read_if_present(spark, numbers_path)
+        known_numbers = tables.read(UNIT_NUMBERS)
         if known_numbers is None or known_numbers.isEmpty():
             # A fact from before totals were kept, or a run that ended early: totals are made
             # from all of it, once.
             known_numbers = None
-            old = of_other_periods(spark.read.schema(fact.schema).parquet(fact_path), fact)
+            old = of_other_periods(tables.read(FACT_NAME, fact.schema), fact)
             counted = fact.unionByName(old)
     numbers = number_units(counted, known_numbers)
     numbers = stage(numbers if known_numbers is None else numbers.union(known_numbers), "unit-numbers")
@@ -383,8 +428,8 @@ def run(
     flagged = flagged_rows.agg(*flag_tally_columns()).first()
     published, outdated = fact, []
     if loaded is not None:
-        old = of_other_periods(spark.read.schema(fact.schema).parquet(fact_path), fact)
-        known = read_if_present(spark, limits_path)
+        old = of_other_periods(tables.read(FACT_NAME, fact.schema), fact)
+        known = tables.read(LIMITS)
         if kept is not None and known is not None:
             # Months in which no value lies between an old fence and the new one are not read.
             moved = [r[0] for r in moved_parts(kept, known, limits).collect()]
@@ -394,25 +439,24 @@ def run(
         # At most as many months as were named.
         months = fact.where(F.col("period").isin(*reprocess)) if reprocess else fact.limit(0)
         months = [r[0] for r in months.select("year_month").distinct().collect()]
-        outdated = partition_files(spark, fact_path, [f"*/year_month={m}" for m in months])
+        # What a month held in areas that it has no more rows for.
+        outdated = [f"*/year_month={m}" for m in months]
     replace = "all" if loaded is None else "touched"
     # Limits that flags no longer follow, should the run end early, are worse than none.
-    write_table(limits.limit(0), limits_path)
-    write_table(numbers.limit(0), numbers_path)
-    write_table(scores, scores_path, partition_by=["period"])
-    write_fact(published, fact_path, replace=replace)
-    # What a month held in areas that it has no more rows for.
-    remove_files(spark, outdated)
-    write_table(sketches, sketches_path, partition_by=["period"], replace=replace)
-    write_table(limits, limits_path)
-    write_table(totals, totals_path, partition_by=["period"], replace=replace)
+    tables.invalidate(limits, LIMITS)
+    tables.invalidate(numbers, UNIT_NUMBERS)
+    tables.write(scores, SCORES, partition_by=["period"])
+    tables.write(published, FACT_NAME, partition_by=FACT_PARTITIONS, replace=replace, outdated=outdated)
+    tables.write(sketches, SKETCHES, partition_by=["period"], replace=replace)
+    tables.write(limits, LIMITS)
+    tables.write(totals, TOTALS, partition_by=["period"], replace=replace)
     # Numbers come last: without them the next load makes all totals again.
-    write_table(numbers, numbers_path)
+    tables.write(numbers, UNIT_NUMBERS)
 
     # A period reads back as a number unless its type is given.
-    fact = spark.read.schema(fact.schema).parquet(fact_path)
-    scores = spark.read.schema(scores.schema).parquet(scores_path)
-    totals = spark.read.schema(totals.schema).parquet(totals_path)
+    fact = tables.read(FACT_NAME, fact.schema)
+    scores = tables.read(SCORES, scores.schema)
+    totals = tables.read(TOTALS, totals.schema)
 
     flat_tables = {
         "dim_data_element": elements,
@@ -434,21 +478,29 @@ def run(
     # The reports do not depend on one another; several at a time keep the
     # cluster busy through the tail of each.
     with ThreadPoolExecutor(concurrent_reports) as pool:
-        list(pool.map(lambda name: publish(name, reports[name]()), reports))
+        contexts = {name: copy_context() for name in reports}  # they know the staging folder
+        list(pool.map(lambda name: contexts[name].run(lambda: publish(name, reports[name]())), reports))
 
-    snapshots = f"{target}/_metadata_snapshot"
     current = stage(registry_snapshot(elements), "registry")
-    drift = detect_drift(current, latest_snapshot(spark, snapshots))
+    if isinstance(tables, InPlace):
+        snapshots = tables.path("_metadata_snapshot")
+        previous = latest_snapshot(spark, snapshots)
+    else:
+        previous = tables.read(SNAPSHOT)
+    drift = detect_drift(current, previous)
     drifted = Observation("drift")
     publish("metadata_drift", drift.observe(drifted, F.count(F.lit(1)).alias("n")))
-    save_snapshot(current, snapshots)
+    if isinstance(tables, InPlace):
+        save_snapshot(current, snapshots)
+    else:
+        tables.write(current, SNAPSHOT)
 
     copies = duplicate_tally(resolved).first() if count_duplicates else None
     return report(
         "complete",
         exact_duplicates=copies["exact_duplicates"] if copies else None,
         near_duplicates=copies["near_duplicates"] if copies else None,
-        fact_rows=spark.read.parquet(fact_path).count(),
+        fact_rows=fact.count(),
         late_rows=flagged["late_rows"],
         outlier_rows=flagged["outlier_rows"],
         zero_rows=flagged["zero_rows"],

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,9 +30,29 @@ def staging_root(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: The folder that what is staged now goes to, below the shared one.
+_folder: ContextVar[str] = ContextVar("_folder", default="reportmart")
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{staging_root(spark)}/reportmart/{name}-{uuid.uuid4().hex}"
+    return f"{staging_root(spark)}/{_folder.get()}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def own_folder(spark: SparkSession) -> Iterator[None]:
+    """What is staged within goes to a folder of its own, which is removed at the end, also
+    when it fails. A thread takes part if it runs in a copy of this context. Frames that
+    read such a table can't be used afterwards."""
+    folder = f"reportmart/run-{uuid.uuid4().hex}"
+    token = _folder.set(folder)
+    try:
+        yield
+    finally:
+        _folder.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/{folder}")
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        path.getFileSystem(conf).delete(path, True)
 
 
 def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:

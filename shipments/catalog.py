@@ -18,6 +18,7 @@ from reportmart.operators.contract import (
 )
 from reportmart.plans.reporting import run
 from reportmart.sources import landing as land
+from reportmart.sources.releases import Releases
 from reportmart.sources.staging import new_path, stage
 from reportmart.sources.tables import write_table
 from reportmart.streaming.incremental import loaded_periods, new_periods
@@ -619,18 +620,42 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(frame, "quarantine_pct", "avg_completeness_pct")
 
 
-@lru_cache(maxsize=1)
-def loaded_in_two(spark: SparkSession, sf_dir: str) -> str:
+@lru_cache(maxsize=2)
+def loaded_in_two(spark: SparkSession, sf_dir: str, releases: bool = False) -> str:
     """The folder of a run over the early months, then an incremental run over all of them.
     Several queries look at the outputs of the same two runs."""
     target = new_path(spark, "run")
     whole = model.landing(spark, sf_dir)
     early = {**vars(whole), "values": whole.values.where(F.col("period") < CUTOFF)}
-    run(spark, land.Landing(**early), target, exact_quartiles=True)
-    run(spark, whole, target, mode="incremental", exact_quartiles=True)
+    run(spark, land.Landing(**early), target, exact_quartiles=True, releases=releases)
+    run(spark, whole, target, mode="incremental", exact_quartiles=True, releases=releases)
     return target
 
 
+@query
+def run_released_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of the newest release: partitions of both loads."""
+    return Releases(spark, loaded_in_two(spark, sf_dir, True)).read(star.FACT_NAME)
+
+
+@query
+def run_release_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by country of each release; the first stays as it was read after it."""
+    target = loaded_in_two(spark, sf_dir, True)
+    found = [
+        Releases(spark, target, number)
+        .read(star.FACT_NAME)
+        .groupBy(F.lit(number).alias("release"), "country_name")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.sum("typed_value").alias("total"),
+            F.max("period").alias("last_period"),
+        )
+        for number in (1, 2)
+    ]
+    return found[0].union(found[1])
+
+
 @query
 def run_incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact of an incremental load: every column as a full load gives it."""

@@ -489,6 +489,7 @@ SELECTS = {
 
 # A load in two steps gives what one load gives.
 SELECTS["run_incremental_fact"] = SELECTS["fact_build"]
+SELECTS["run_released_fact"] = SELECTS["fact_build"]
 SELECTS["run_incremental_scores"] = SELECTS["completeness"]
 SELECTS["run_incremental_kpis"] = SELECTS["country_kpis"]
 SELECTS["run_incremental_quarterly"] = SELECTS["quarterly_volumes"]
@@ -497,6 +498,14 @@ SELECTS["run_incremental_global"] = SELECTS["global_totals"]
 SELECTS["run_incremental_monthly"] = SELECTS["monthly_volume"]
 SELECTS["run_incremental_rate"] = SELECTS["reporting_rate"]
 
+# The first of two releases holds the months before the cutoff, the second all of them.
+_BY_COUNTRY = """AS "release", country_name, count(*) AS n_rows, sum(typed_value) AS total,
+    max(period) AS last_period FROM fact"""
+SELECTS["run_release_history"] = (
+    f"SELECT 1 {_BY_COUNTRY} WHERE period < '199901' GROUP BY country_name"
+    f" UNION ALL SELECT 2 {_BY_COUNTRY} GROUP BY country_name"
+)
+
 # The same results by the branches that split what is too large for a task.
 for plain in ("outlier_limits", "rolling_avg", "anomalies"):
     SELECTS[f"{plain}_split"] = SELECTS[plain]
