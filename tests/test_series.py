@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import Window, functions as F
 
+from reportmart.operators import series
 from reportmart.operators.anomaly import detect_anomalies
 from reportmart.operators.series import long_series, with_frames
 from reportmart.operators.trends import (
@@ -57,6 +58,20 @@ def test_split_series_match_plain_windows(spark, rows, rows_per_task):
     assert contents(got.select(*rows.columns, *FRAMES)) == contents(plain(rows))
 
 
+def test_small_chunks_share_a_task(spark, rows, monkeypatch):
+    staged, stage = {}, series.stage
+
+    def spy(df, name):
+        staged[name] = stage(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(series, "stage", spy)
+    with_frames(rows, KEYS, ORDER, FRAMES, 4, 3).count()
+    chunks = staged["series-chunks"]
+    assert len(chunks.inputFiles()) <= 2
+    assert chunks.groupBy(*KEYS, "__chunk").count().agg(F.max("count")).first()[0] <= 3
+
+
 def test_long_series_are_found(spark, rows):
     found = {r["unit"]: r["n_rows"] for r in long_series(rows, KEYS, 40).collect()}
     assert found == {"hot": 300, "same": 100, None: 50}
