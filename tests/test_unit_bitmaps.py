@@ -84,3 +84,14 @@ def test_no_rows(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert ub.number_units(none).collect() == []
     assert ub.roll_up(ub.totals_of(none, ["area", "period"]), ["area"], "period").collect() == []
+
+
+def test_bitmaps_are_made_after_the_shuffle(spark):
+    """Made before it, they would be as many as tasks times groups."""
+    given = spark.createDataFrame(rows(5, 200, 30), SCHEMA)
+    numbers = spark.createDataFrame([(f"u{i}", i + 1) for i in range(30)], "org_unit_id string, number long")
+    totals = ub.unit_totals(given, numbers, ["area", "period"])
+    plan = totals._jdf.queryExecution().executedPlan().toString().splitlines()
+    made = [i for i, line in enumerate(plan) if "bitmap_construct_agg" in line]
+    dealt = [i for i, line in enumerate(plan) if "Exchange hashpartitioning" in line]
+    assert made and dealt and max(made) < min(dealt)
