@@ -6,8 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 from test_run import good_values, write_landing
 
+from reportmart.functions import natural_key
 from reportmart.operators import quality, quantiles, rollups
+from reportmart.operators.anomaly import detect_anomalies
+from reportmart.operators.unit_bitmaps import numbered, unit_totals
 from reportmart.plans import reporting
+from reportmart.sources import tables as tables_module
 from shipments import model
 
 ROWS, UNITS = 60, 6
@@ -119,3 +123,83 @@ def test_a_load_stages_neither_wide_rows_nor_loaded_ones(spark, tmp_path, staged
     assert "fact" not in names
     cleaned = [table for name, table in staged if name == "cleaned"]
     assert len(cleaned) == 2 and all("country_name" in table.columns for table in cleaned)
+
+
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_partitions_are_written_side_by_side(spark, tmp_path):
+    """Rows are not sorted by folder, and folders beyond those kept open get theirs all the same."""
+    setting, path = tables_module.WRITERS_SETTING, str(tmp_path / "t")
+    rows = [(i, i % (2 * tables_module.WRITERS)) for i in range(200)]
+    tables_module.write_table(spark.createDataFrame(rows, "i int, k int"), path, partition_by=["k"])
+    assert {tuple(r) for r in spark.read.parquet(path).select("i", "k").collect()} == set(rows)
+    before = spark.conf.get(setting)
+    with tables_module.side_by_side(spark):
+        assert spark.conf.get(setting) == str(tables_module.WRITERS)
+    assert spark.conf.get(setting) == before == "0"
+    spark.conf.set(setting, "3")
+    try:
+        with tables_module.side_by_side(spark):
+            assert spark.conf.get(setting) == "3"
+    finally:
+        spark.conf.unset(setting)
+
+
+def test_loaded_rows_do_not_meet_the_tree(spark):
+    names = "dataElement period orgUnit categoryOptionCombo value created lastUpdated storedBy".split()
+    values = [("E", "202301", "U", "C"), ("E", "202302", "U", "X"), ("E", "202302", "V", None),
+              ("G", "202302", "U", "C"), ("E", "202301", None, "C"), ("E", None, "U", "C"),
+              ("G", "202301", "V", "C")]
+    values = [(*v, "1", "2023-02-01", None, "s") for v in values]
+    values = spark.createDataFrame(values, ", ".join(f"{n} string" for n in names))
+    registries = [spark.createDataFrame([(i,)], "id string") for i in "ECU"]
+    loaded = spark.createDataFrame([("202301",)], "period string")
+    routed = reporting.route(values, *registries, loaded)
+    found = sorted((r["period"] or "", r["dataElement"], r["orgUnit"] or "", r["outcome"]) for r in routed.collect())
+    assert found == [
+        ("", "E", "U", "quarantined"), ("202301", "E", "", "quarantined"), ("202301", "E", "U", "already_loaded"),
+        ("202301", "G", "V", "already_loaded"), ("202302", "E", "U", "resolved"), ("202302", "E", "V", "unknown_unit"),
+        ("202302", "G", "U", "unknown_element"),
+    ]
+    # Elements, categories, loaded periods and the tree; loaded rows join all but the tree.
+    assert plan(routed).count("Join ") == 4 + 3
+
+
+def test_values_of_several_programmes_count_once_without_a_shuffle(spark):
+    rows = [("A", "e", "1", p, h, v) for p, h in (("P", "X"), ("Q", None)) for v in (1.0, 1.0, None)]
+    rows += [(None, "e", "1", None, None, 2.0), ("A", "f", "1", "Q", None, 3.0), ("A", "e", "2", "Q", None, 4.0)]
+    names = "country_name string, data_element_id string, period string, program_id string, health_area string"
+    fact = spark.createDataFrame(rows, f"{names}, typed_value double")
+    found = reporting.of_one_program(fact)
+    assert "Exchange hashpartitioning" not in executed(found)
+    got = sorted((r["typed_value"] or 0.0) for r in found.collect())
+    assert got == [0.0, 1.0, 1.0, 2.0, 3.0, 4.0]
+
+
+def test_anomalies_are_found_without_row_ids_in_the_shuffle(spark):
+    key = ["data_element_id", "period", "org_unit_id", "coc_id"]
+    rows = [("e", f"2023{m:02d}", "u", c, p, 500.0 if m == 9 else 1.0 + m % 2)
+            for m in range(1, 13) for c in ("c", None) for p in ("P", "Q")]
+    fact = spark.createDataFrame(
+        rows, ", ".join(f"{c} string" for c in [*key, "program_id"]) + ", typed_value double"
+    )
+    for c in ("country_name", "facility_name", "data_element_name", "health_area"):
+        fact = fact.withColumn(c, F.lit(c))
+    fact = fact.withColumn("fact_id", natural_key(key))
+    found = reporting.find_anomalies(fact)
+    shuffled = [executed(df).split("Exchange", 1)[1] for df in (found, detect_anomalies(fact))]
+    assert ["md5" in text for text in shuffled] == [False, True]
+    want = sorted(map(repr, detect_anomalies(fact).collect()))
+    assert want and sorted(map(repr, found.collect())) == want
+    assert found.columns == detect_anomalies(fact).columns
+
+
+def test_totals_take_numbers_that_came_with_the_rows(spark):
+    rows = [("a", "u", 1.0), ("a", "v", None), ("b", "v", 2.0), ("b", None, 3.0)]
+    df = spark.createDataFrame(rows, "k string, org_unit_id string, typed_value double")
+    numbers = spark.createDataFrame([("u", 1), ("v", 2)], "org_unit_id string, number long")
+    own = unit_totals(numbered(df, numbers), keys=["k"])
+    assert "Join" not in plan(unit_totals(df.withColumn("number", F.lit(1)), keys=["k"]))
+    assert sorted(map(repr, own.collect())) == sorted(map(repr, unit_totals(df, numbers, ["k"]).collect()))
