@@ -237,7 +237,9 @@ def links(distinct: DataFrame, *, bits: int = MAX_BITS, block: int = BLOCK) -> D
     keyed = distinct.select("fp").mapInArrow(keys_of_batches, "key long, fp long")
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    rows = keyed.join(shared, "key").select("key", "fp", blocks.alias("blocks"))
+    # The planner takes keys to be as few as the fingerprints they come from, which have dozens
+    # each: told so, it joins them by shuffle at every size and sends none to the driver.
+    rows = keyed.join(shared.hint("merge"), "key").select("key", "fp", blocks.alias("blocks"))
     # The fingerprints of most keys are one block.
     none = F.array().cast("array<long>").alias("right")
     single = rows.where("blocks = 1").groupBy("key").agg(F.collect_list("fp").alias("left"))

@@ -147,6 +147,14 @@ def test_links_connect_what_brute_force_does(spark, block):
     assert [roots.get(f, f) for f in signed] == want
 
 
+def test_keys_are_never_broadcast(spark):
+    """Fingerprints of a few megabytes have hundreds of megabytes of keys."""
+    found = simhash.links(spark.range(1, 3).withColumnRenamed("id", "fp"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {tuple(sorted(r)) for r in found.collect()} == {(1, 2)}
+
+
 def test_components_of_long_chains(spark):
     chain = [(i, i + 1) for i in range(0, 300)] + [(1000, 1001), (1002, 1001), (5, 5)]
     found = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
