@@ -8,8 +8,10 @@ bound is below the k-th largest lower bound of the query. Survivors are computed
 in double precision on the original vectors and go to a heap of k for each query. No
 true neighbour is lost: the result is exact.
 
-Queries and candidates come in blocks, and a pair of blocks is one row, so the work is
-spread however many rows either side has. The heaps of the tasks are merged by rank.
+Candidates are dealt into parts of about ``PART`` components, one task each, and every
+query goes to every part; there a block of queries meets one block of candidates after
+the other. So vectors are shuffled once, queries once a part, and a task holds one part.
+The heaps of the tasks are merged by rank.
 """
 
 from __future__ import annotations
@@ -23,10 +25,11 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.types import FloatType
 
 from ..sources.staging import stage
-from .common import rows_of
 
 BLOCK = 2048
 QUERY_BLOCK = 512
+#: Components of the candidates of a task, which it holds with 12 bytes each.
+PART = 1 << 22
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -34,50 +37,66 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     null, empty, zero, or hold a null or non-finite component, or whose squares have no
     finite sum above zero, take no part. Of several rows with one id the least vector
     does."""
-    vector = F.transform(vectors[vector_col], lambda x: x.cast("double"))
+    component = "float" if component_type(vectors, vector_col) is np.float32 else "double"
+    vector = vectors[vector_col].cast(f"array<{component}>")
     rows = vectors.select(vectors[id_col].cast("long").alias("id"), vector.alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    squares = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
+    squares = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     rows = rows.where("id is not null and size(vec) > 0").where(F.coalesce(finite, F.lit(False)))
     rows = rows.where((squares > 0) & (squares < float("inf")))
     return rows.groupBy("id").agg(F.min("vec").alias("vec"))
 
 
 def component_type(vectors: DataFrame, vector_col: str) -> type:
-    """What holds the components exactly: float32 where the column has floats, so that a
-    block has half the bytes to shuffle, else float64."""
+    """What holds the components exactly: float32 where the column has floats, so that
+    there are half the bytes to shuffle, else float64."""
     element = vectors.schema[vector_col].dataType.elementType
     return np.float32 if isinstance(element, FloatType) else np.float64
 
 
-def packed(rows: DataFrame, n_blocks: int, component: type = np.float64) -> DataFrame:
-    """Blocks of vectors of one dimension: their ids and components as bytes."""
-    schema = "dim int, block int, ids binary, vecs binary"
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for dim, block, members in rows_of(batches, 1):
-            ids = np.array([m["id"] for m in members], np.int64)
-            vecs = np.array([m["vec"] for m in members], component)
-            order = np.argsort(ids)
-            columns = [[dim], [block], [ids[order].tobytes()], [vecs[order].tobytes()]]
-            types = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)],
-                names=["dim", "block", "ids", "vecs"],
-            )
-
-    dealt = rows.groupBy(
-        F.size("vec").alias("dim"),
-        F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int").alias("block"),
-    )
-    gathered = dealt.agg(F.collect_list(F.struct("id", "vec")).alias("members"))
-    return gathered.mapInArrow(pack, schema)
+def blocks_of(
+    batches: Iterator[pa.RecordBatch], sizes: tuple[int, int]
+) -> Iterator[tuple[int, bool, Block]]:
+    """Rows ``dim``, ``asks``, ``id``, ``vec`` that come in this order, as blocks of one dimension
+    and side, of at most ``sizes`` candidates and queries, each with its dimension and side."""
+    key: tuple = ()
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    n = 0
+
+    def block() -> Iterator[tuple[int, bool, Block]]:
+        if n:
+            ids, vecs = (np.concatenate(side) for side in zip(*waiting))
+            yield *key, Block(key[0], ids, vecs, vecs.dtype)
+            waiting.clear()
+
+    for whole in batches:
+        dims = whole.column("dim").to_numpy(zero_copy_only=False)
+        asks = whole.column("asks").to_numpy(zero_copy_only=False)
+        changes = np.flatnonzero((dims[1:] != dims[:-1]) | (asks[1:] != asks[:-1])) + 1
+        edges = [0, *changes.tolist(), whole.num_rows]
+        for at, stop in zip(edges, edges[1:]):
+            while at < stop:
+                now = int(dims[at]), bool(asks[at])
+                if now != key or n == sizes[now[1]]:
+                    yield from block()
+                    key, n = now, 0
+                part = whole.slice(at, min(stop - at, sizes[now[1]] - n))
+                ids, vecs = part.column("id").to_numpy(), part.column("vec").flatten().to_numpy()
+                waiting.append((ids, vecs))
+                at, n = at + len(ids), n + len(ids)
+    yield from block()
 
 
 class Block:
     """Vectors of a block with their rounded forms and error bounds."""
 
-    def __init__(self, dim: int, ids: bytes, vecs: bytes, component: type = np.float64) -> None:
+    def __init__(
+        self,
+        dim: int,
+        ids: bytes | np.ndarray,
+        vecs: bytes | np.ndarray,
+        component: type | np.dtype = np.float64,
+    ) -> None:
         self.ids = np.frombuffer(ids, np.int64)
         self.vecs = np.frombuffer(vecs, component).reshape(-1, dim).astype(np.float64)
         self.norms = np.sqrt((self.vecs * self.vecs).sum(axis=1))
@@ -140,6 +159,14 @@ class Neighbours:
         )
 
 
+def n_parts(rows: DataFrame, block: int) -> int:
+    """The number of parts of the candidates: enough for the cores if each gets a block, and
+    for parts that fit a task."""
+    found = rows.agg(F.count(F.lit(1)), F.sum(F.size("vec").cast("long"))).first()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(-(-found[0] // block), cores), -(-(found[1] or 0) // PART))
+
+
 def nearest(
     vectors: DataFrame,
     queries: DataFrame,
@@ -158,32 +185,32 @@ def nearest(
     no part. An empty table on either side gives an empty result."""
     rows = stage(usable(vectors, id_col, vector_col), "vectors")
     wanted = stage(usable(queries, id_col, vector_col), "query-vectors")
-    n_blocks = max(1, -(-rows.count() // block))
-    n_query_blocks = max(1, -(-wanted.count() // query_block))
-    types = component_type(vectors, vector_col), component_type(queries, vector_col)
-    candidates = packed(rows, n_blocks, types[0]).toDF("dim", "block", "ids", "vecs")
-    asked = packed(wanted, n_query_blocks, types[1]).toDF("dim", "query_block", "query_ids", "query_vecs")
-    # Each block of queries goes to every block of candidates.
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    tiles = candidates.join(asked, ["dim", "block"]).select(
-        "dim", "query_block", "query_ids", "query_vecs", "block", "ids", "vecs"
-    )
+    parts = n_parts(rows, block)
+    exact = component_type(vectors, vector_col), component_type(queries, vector_col)
+    shipped = "array<float>" if exact == (np.float32, np.float32) else "array<double>"
+    columns = F.size("vec").alias("dim"), F.col("id"), F.col("vec").cast(shipped).alias("vec")
+    own = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part")
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+    candidates = rows.select(own, F.lit(False).alias("asks"), *columns)
+    asked = wanted.select(every, F.lit(True).alias("asks"), *columns)
+    # Of each dimension the candidates come first; ids ascend.
+    met = candidates.union(asked).repartitionById(parts, "part")
+    met = met.sortWithinPartitions("dim", "asks", "id").select("dim", "asks", "id", "vec")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Neighbours(k)
-        left: tuple = ()
-        right: tuple = ()
-        for dim, query_block, query_ids, query_vecs, number, ids, vecs in rows_of(batches, 1):
-            if left[:2] != (dim, query_block):
-                left = (dim, query_block, Block(dim, query_ids, query_vecs, types[1]))
-            if right[:2] != (dim, number):
-                right = (dim, number, Block(dim, ids, vecs, types[0]))
-            found.add(left[2], right[2])
-            if len(found.heaps) > 100_000:
-                yield found.batch()
-        yield found.batch()
-
-    found = tiles.mapInArrow(search, "query_id long, vec_id long, score double")
+        here: tuple[int, list[Block]] = (0, [])
+        for dim, asks, block_of in blocks_of(batches, (block, query_block)):
+            if dim != here[0]:
+                here = dim, []
+            if not asks:
+                here[1].append(block_of)
+                continue
+            found = Neighbours(k)
+            for candidates in here[1]:
+                found.add(block_of, candidates)
+            yield found.batch()
+
+    found = met.mapInArrow(search, "query_id long, vec_id long, score double")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -5,7 +5,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from reportmart.llm import vector_search
 from reportmart.llm.vector_search import Block, nearest
 
 SCHEMA = "vec_id long, embedding array<float>, id string, dim string, block string"
@@ -64,3 +66,24 @@ def test_bounds_hold():
     unit = vecs / np.linalg.norm(vecs, axis=1)[:, None]
     assert (least <= unit @ unit.T).all() and (unit @ unit.T <= most).all()
     assert (most - least).max() < 0.1
+
+
+def test_blocks_are_not_broadcast(spark):
+    """The planner takes the blocks of queries, one copy for each block of candidates, for a
+    few kilobytes."""
+    vectors = spark.createDataFrame([(i, [1.0, float(i)], "", "", "") for i in range(20)], SCHEMA)
+    found = nearest(vectors, vectors.where("vec_id % 5 = 0"), block=4, query_block=2)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("other", ["array<float>", "array<double>"])
+def test_many_parts(spark, monkeypatch, other):
+    """Several parts, dimensions and blocks, also with queries of another type."""
+    monkeypatch.setattr(vector_search, "PART", 40)
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(rng.choice([3, 4]))]) for i in range(90)]
+    vectors = spark.createDataFrame([(i, v, "x", "y", "z") for i, v in rows], SCHEMA)
+    queries = vectors.where("vec_id % 3 = 0").withColumn("embedding", F.col("embedding").cast(other))
+    found = nearest(vectors, queries, block=5, query_block=4).collect()
+    got = sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in found)
+    assert got == brute(rows, {i for i, _ in rows if i % 3 == 0}, 5)
