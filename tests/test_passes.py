@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_run import good_values, write_landing
 
 from reportmart.functions import natural_key
-from reportmart.operators import quality, quantiles, rollups
+from reportmart.operators import quality, quantiles, rollups, star
 from reportmart.operators.anomaly import detect_anomalies
 from reportmart.operators.unit_bitmaps import numbered, unit_totals
 from reportmart.plans import reporting
@@ -203,3 +203,31 @@ def test_totals_take_numbers_that_came_with_the_rows(spark):
     own = unit_totals(numbered(df, numbers), keys=["k"])
     assert "Join" not in plan(unit_totals(df.withColumn("number", F.lit(1)), keys=["k"]))
     assert sorted(map(repr, own.collect())) == sorted(map(repr, unit_totals(df, numbers, ["k"]).collect()))
+
+
+def test_derived_columns_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """Row ids and dates follow from the key, so they are made when the rows are together."""
+    shuffled = []
+    hint = type(spark.range(1)).hint
+
+    def hinted(df, name, *columns):
+        shuffled.append(df.columns)
+        return hint(df, name, *columns)
+
+    monkeypatch.setattr(type(spark.range(1)), "hint", hinted)
+    row = {"period": "202403", "data_element_id": "e", "org_unit_id": "u", "coc_id": None}
+    row |= {"value": "7", "health_area": "H", "year_month": "2024-03"}
+    given = spark.createDataFrame([row], ", ".join(f"{c} string" for c in row))
+    columns = ["value", "fact_id", *star.PERIOD_COLUMNS, "date_key", *list(row)[1:4], "health_area"]
+    fact = given.withColumns(star.derived_columns()).select(columns)
+    star.write_fact(fact, str(tmp_path / "fact"))
+    assert [set(columns) for columns in shuffled] == [set(row)]
+    found = spark.read.schema(fact.schema).parquet(str(tmp_path / "fact"))
+    assert found.first().asDict() == fact.first().asDict()
+
+
+def test_values_land_without_a_shuffle(spark, tables, monkeypatch):
+    plans = []
+    monkeypatch.setattr(model, "stage", lambda df, name: plans.append(executed(df)) or df)
+    assert model.landed(spark, tables).count() == ROWS
+    assert len(plans) == 1 and "Exchange" not in plans[0]
